@@ -32,8 +32,8 @@ def read_osf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def file_rank(path: Column) -> Column:
-    """Sort key of a landed file: ranges without a start date first, the others by name."""
-    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    """Sort key of a landed file or folder: ranges without a start date first, others by name."""
+    name = F.regexp_extract(path, r"(osf-[^/]*)", 1)
     return F.when(F.contains(name, F.lit("beginning")), F.lit("osf-00")).otherwise(name)
 
 

@@ -57,8 +57,11 @@ def keyed_append(
     """
     fresh = newest(df, keys, stamp)
     try:
-        held = df.sparkSession.read.parquet(path).select(
-            *[F.col(k).alias(f"_held_{k}") for k in keys]
+        # the schema is given because values of a partition column would be guessed otherwise
+        held = (
+            df.sparkSession.read.schema(df.schema)
+            .parquet(path)
+            .select(*[F.col(k).alias(f"_held_{k}") for k in keys])
         )
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
@@ -66,7 +69,7 @@ def keyed_append(
     else:
         same = F.lit(True)
         for k in keys:
-            same = same & fresh[k].eqNullSafe(held[f"_held_{k}"].cast(df.schema[k].dataType))
+            same = same & fresh[k].eqNullSafe(held[f"_held_{k}"])
         fresh = fresh.join(held, same, "left_anti")
     append(fresh, path, partition)
 
