@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.text import let
+
 K1 = 1.2
 B = 0.75
 
@@ -48,12 +50,17 @@ def _could_match(text: Column, phrase: list[str]) -> Column:
 def match_phrase(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     """The rows that hold the phrase, with its frequency ``freq`` and length ``n_words``."""
     wanted = phrase_words(phrase)
+    # both numbers come from one pass over the words of the row
+    counted = let(
+        analyse(F.col(text)),
+        lambda terms: F.struct(
+            phrase_frequency(terms, wanted).cast("bigint").alias("freq"),
+            F.size(terms).cast("bigint").alias("n_words"),
+        ),
+    )
     return (
         docs.where(_could_match(F.col(text), wanted))
-        .withColumn("_terms", analyse(F.col(text)))
-        .withColumn("freq", phrase_frequency(F.col("_terms"), wanted).cast("bigint"))
-        .withColumn("n_words", F.size("_terms").cast("bigint"))
-        .drop("_terms")
+        .select("*", F.inline(F.array(counted)))
         .where(F.col("freq") > 0)
     )
 
@@ -64,14 +71,21 @@ def corpus_statistics(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     The document frequency of every phrase word comes from the same pass.
     """
     wanted = phrase_words(phrase)
-    terms = docs.select(analyse(F.col(text)).alias("terms")).where(F.size("terms") > 0)
-    counts = terms.agg(
-        F.count("*").alias("n_docs"),
-        F.avg(F.size("terms")).alias("avg_words"),
-        *[
-            F.count_if(F.array_contains("terms", w)).alias(f"df{i}")
-            for i, w in enumerate(wanted)
-        ],
+    per_doc = let(
+        analyse(F.col(text)),
+        lambda terms: F.struct(
+            F.size(terms).alias("n_words"),
+            *[F.array_contains(terms, w).alias(f"has{i}") for i, w in enumerate(wanted)],
+        ),
+    )
+    counts = (
+        docs.select(F.inline(F.array(per_doc)))
+        .where(F.col("n_words") > 0)
+        .agg(
+            F.count("*").alias("n_docs"),
+            F.avg("n_words").alias("avg_words"),
+            *[F.count_if(F.col(f"has{i}")).alias(f"df{i}") for i in range(len(wanted))],
+        )
     )
     idf = F.lit(0.0)
     for i in range(len(wanted)):

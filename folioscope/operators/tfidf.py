@@ -169,15 +169,15 @@ def transform(
     length = F.sqrt(
         F.aggregate("raw", F.lit(0.0), lambda total, x: total + x["weight"] * x["weight"])
     )
-    return weights.withColumn("length", length).select(
-        key,
-        F.transform(
+    # bound once per row: inside the element function it would be computed for every element
+    scaled = let(
+        length,
+        lambda n: F.transform(
             "raw",
-            lambda x: F.struct(
-                x["term"].alias("term"), (x["weight"] / F.col("length")).alias("weight")
-            ),
-        ).alias("vector"),
+            lambda x: F.struct(x["term"].alias("term"), (x["weight"] / n).alias("weight")),
+        ),
     )
+    return weights.select(key, scaled.alias("vector"))
 
 
 def long_weights(vectors: DataFrame, key: str) -> DataFrame:
