@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import let, term_counts, tokenize
-from folioscope.operators.lemma import lemma_map
+from folioscope.operators.lemma import INFLECTED, lemma_map
+from folioscope.session import stable
 
 # A model with at most this many terms (about 40 bytes each) is broadcast outright; beyond it
 # the join strategy is left to the sizes Spark measures.
@@ -83,19 +84,30 @@ def _merge_equal_terms(pairs: Column) -> Column:
     )
 
 
-def lemmatize_counts(
-    counts: DataFrame, key: str, lemmas: DataFrame, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Replace terms by their lemma and add up counts that meet; empty documents are kept."""
-    long = counts.select(key, *keep, F.inline_outer("counts"))
-    renamed = long.join(lemmas, "term", "left").select(
-        key, *keep, F.coalesce("lemma", "term").alias("term"), "tf"
+def lemmatize_counts(counts: DataFrame, key: str, lemmas: DataFrame) -> DataFrame:
+    """Replace terms by their lemma and add up counts that meet; all documents and columns are kept.
+
+    Only terms with a noun ending are looked up. What is found travels back to its document as a
+    small map, so the counts themselves stay arrays, one row per document.
+    """
+    inflected = (
+        counts.select(key, F.explode("counts.term").alias("term"))
+        .where(F.col("term").rlike(INFLECTED))
+        .join(lemmas, "term")
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("renames"))
+    )
+    renamed = F.transform(
+        "counts",
+        lambda x: F.struct(
+            F.coalesce(F.col("renames")[x["term"]], x["term"]).alias("term"), x["tf"].alias("tf")
+        ),
+    )
+    merged = F.when(F.col("renames").isNull(), F.col("counts")).otherwise(
+        _merge_equal_terms(renamed)
     )
-    pairs = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
-    return (
-        renamed.groupBy(key, *keep)
-        .agg(pairs.alias("pairs"))
-        .select(key, *keep, _merge_equal_terms(F.col("pairs")).alias("counts"))
+    return counts.join(inflected, key, "left").select(
+        *[c for c in counts.columns if c != "counts"], merged.alias("counts")
     )
 
 
@@ -154,7 +166,7 @@ def transform(
 
     Terms the model does not know are ignored before the norm is taken. A document without a
     known term has no row here: take set sizes from the documents, not from the vectors.
-    Pass ``max_terms`` when the model's size is bounded by construction (``max_features``).
+    Pass the number of terms as ``max_terms`` when it is known: a small model is then broadcast.
     """
     idf = model.select("term", "idf")
     if max_terms is not None and max_terms <= BROADCAST_TERMS:
@@ -187,5 +199,5 @@ def long_weights(vectors: DataFrame, key: str) -> DataFrame:
 
 def training_lemmas(train_counts: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Lemma table of the training terms; the lexicon defaults to the training vocabulary."""
-    terms = distinct_terms(train_counts)
+    terms = stable(distinct_terms(train_counts))
     return lemma_map(terms, terms if lexicon is None else lexicon)
