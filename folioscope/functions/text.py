@@ -104,4 +104,7 @@ def term_counts(tokens: Column) -> Column:
         )
 
     none = F.expr("cast(array() as array<struct<term:string,tf:bigint>>)")
-    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs)).otherwise(none)
+    return let(
+        F.sort_array(tokens),
+        lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none),
+    )

@@ -48,12 +48,17 @@ def document_counts(
 
 
 def long_counts(counts: DataFrame, key: str) -> DataFrame:
-    """``(key, term, tf)``."""
-    return counts.select(key, F.inline("counts"))
+    """``(key, term, tf)``.
+
+    The outer form keeps the optimizer from adding a filter on the array, which would be pushed
+    down as a second tokenisation of every text.
+    """
+    return counts.select(key, F.inline_outer("counts")).where(F.col("term").isNotNull())
 
 
 def distinct_terms(counts: DataFrame) -> DataFrame:
-    return counts.select(F.explode("counts.term").alias("term")).distinct()
+    terms = counts.select(F.explode_outer("counts.term").alias("term"))
+    return terms.where(F.col("term").isNotNull()).distinct()
 
 
 def _merge_equal_terms(pairs: Column) -> Column:
@@ -79,9 +84,8 @@ def _merge_equal_terms(pairs: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(pairs) > 0, let(F.sort_array(pairs), totals)).otherwise(
-        F.expr("cast(array() as array<struct<term:string,tf:bigint>>)")
-    )
+    none = F.expr("cast(array() as array<struct<term:string,tf:bigint>>)")
+    return let(F.sort_array(pairs), lambda s: F.when(F.size(s) > 0, totals(s)).otherwise(none))
 
 
 def lemmatize_counts(counts: DataFrame, key: str, lemmas: DataFrame) -> DataFrame:
@@ -97,11 +101,12 @@ def lemmatize_counts(counts: DataFrame, key: str, lemmas: DataFrame) -> DataFram
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("renames"))
     )
+    def lemma(term: Column) -> Column:
+        may_change = F.endswith(term, F.lit("s")) | F.endswith(term, F.lit("men"))
+        return F.coalesce(F.when(may_change, F.col("renames")[term]), term)
+
     renamed = F.transform(
-        "counts",
-        lambda x: F.struct(
-            F.coalesce(F.col("renames")[x["term"]], x["term"]).alias("term"), x["tf"].alias("tf")
-        ),
+        "counts", lambda x: F.struct(lemma(x["term"]).alias("term"), x["tf"].alias("tf"))
     )
     merged = F.when(F.col("renames").isNull(), F.col("counts")).otherwise(
         _merge_equal_terms(renamed)
@@ -145,7 +150,8 @@ def fit(
     """
     n = counts.agg(F.count("*")).scalar()
     terms = (
-        counts.select(F.inline("counts"))
+        counts.select(F.inline_outer("counts"))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count("*").alias("df"), F.sum("tf").alias("tf_total"))
     )

@@ -67,5 +67,5 @@ def parse_list_pages(pages: DataFrame, body: str = "value") -> DataFrame:
 def page_links(pages: DataFrame, order: str) -> DataFrame:
     """``(order, pos, link)``: the record addresses of each page, in page order."""
     return pages.select(order, F.posexplode("page.data").alias("pos", "d")).select(
-        order, "pos", F.col("d.links.self").alias("link")
+        order, F.col("pos").cast("bigint").alias("pos"), F.col("d.links.self").alias("link")
     )
