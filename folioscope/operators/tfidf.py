@@ -13,22 +13,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import let, term_counts, tokenize
-from folioscope.operators.lemma import INFLECTED, lemma_map
-from folioscope.session import stable
+from folioscope.operators.lemma import lemma_map, may_inflect
+from folioscope.session import broadcast_if_small, stable
 
-# A model with at most this many terms (about 40 bytes each) is broadcast outright; beyond it
-# the join strategy is left to the sizes Spark measures.
-BROADCAST_TERMS = 1_000_000
+
+# A scan is cut into splits of about this size; above the second size nothing is ever re-spread.
+SPLIT_BYTES = 128 << 20
+SMALL_INPUT_BYTES = 1 << 30
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share when the input has fewer partitions than the cluster has cores.
+    """Give every core a share of an input too small to be split among all cores.
 
-    Small inputs of one row group would otherwise be tokenised by a single task. At scale the
-    scan has more partitions than cores and nothing is added.
+    A small file of one row group would otherwise be tokenised by a single task. The test reads
+    the size estimate of the plan and runs nothing; large inputs are left as they are scanned.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    small = estimate < min(cores * SPLIT_BYTES, SMALL_INPUT_BYTES)
+    return df.repartition(cores, key) if small else df
 
 
 def document_counts(
@@ -95,15 +98,14 @@ def lemmatize_counts(counts: DataFrame, key: str, lemmas: DataFrame) -> DataFram
     small map, so the counts themselves stay arrays, one row per document.
     """
     inflected = (
-        counts.select(key, F.explode("counts.term").alias("term"))
-        .where(F.col("term").rlike(INFLECTED))
-        .join(lemmas, "term")
+        counts.select(key, F.explode_outer("counts.term").alias("term"))
+        .where(may_inflect(F.col("term")))
+        .join(broadcast_if_small(lemmas), "term")
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("renames"))
     )
     def lemma(term: Column) -> Column:
-        may_change = F.endswith(term, F.lit("s")) | F.endswith(term, F.lit("men"))
-        return F.coalesce(F.when(may_change, F.col("renames")[term]), term)
+        return F.coalesce(F.when(may_inflect(term), F.col("renames")[term]), term)
 
     renamed = F.transform(
         "counts", lambda x: F.struct(lemma(x["term"]).alias("term"), x["tf"].alias("tf"))
@@ -165,18 +167,13 @@ def fit(
     return terms.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def transform(
-    counts: DataFrame, key: str, model: DataFrame, max_terms: int | None = None
-) -> DataFrame:
+def transform(counts: DataFrame, key: str, model: DataFrame) -> DataFrame:
     """``(key, vector)``: L2-normalised weights as an array of ``(term, weight)`` in term order.
 
     Terms the model does not know are ignored before the norm is taken. A document without a
     known term has no row here: take set sizes from the documents, not from the vectors.
-    Pass the number of terms as ``max_terms`` when it is known: a small model is then broadcast.
     """
-    idf = model.select("term", "idf")
-    if max_terms is not None and max_terms <= BROADCAST_TERMS:
-        idf = F.broadcast(idf)
+    idf = broadcast_if_small(model.select("term", "idf"))
     weights = (
         long_counts(counts, key)
         .join(idf, "term")

@@ -6,6 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A table of at most this many narrow rows (tens of bytes each) is broadcast outright; beyond it
+# the join strategy is left to the sizes Spark measures.
+BROADCAST_ROWS = 1_000_000
 
 
 def build_session(app: str = "folioscope", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +23,8 @@ def build_session(app: str = "folioscope", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -60,3 +67,9 @@ def stable(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Write a narrow table once, count it, and mark it for broadcast when the count allows it."""
+    written = stable(df)
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
