@@ -54,7 +54,12 @@ def split_point(total: int, test_share: float) -> int:
     return total - int(total * test_share)
 
 
-def _not_after(keys: list[str], bound: tuple) -> Column:
+def _bound(df: DataFrame, key: str, value: object) -> Column:
+    """A key value as a literal of the column's own type, so that the scan can use the comparison."""
+    return F.lit(value).cast(df.schema[key].dataType)
+
+
+def _not_after(df: DataFrame, keys: list[str], bound: tuple) -> Column:
     """``keys <= bound`` in the order of ``order_columns`` (nulls last)."""
     verdict = F.lit(True)
     for key, value in reversed(list(zip(keys, bound))):
@@ -62,8 +67,9 @@ def _not_after(keys: list[str], bound: tuple) -> Column:
         if value is None:
             verdict = column.isNotNull() | verdict
         else:
-            before = F.coalesce(column < F.lit(value), F.lit(False))
-            verdict = before | (column.eqNullSafe(F.lit(value)) & verdict)
+            limit = _bound(df, key, value)
+            before = F.coalesce(column < limit, F.lit(False))
+            verdict = before | (column.eqNullSafe(limit) & verdict)
     return verdict
 
 
@@ -77,8 +83,10 @@ def split_by_position(
     """
     numbered = with_ordinal(df.select(*keys), keys)
     cut = split_point(numbered.count(), test_share)
-    last_train = numbered.where(F.col("ordinal") == cut).select(*keys).first()
-    in_train = F.lit(False) if last_train is None else _not_after(keys, tuple(last_train))
+    # as text, because a timestamp would pass through the time zone of the Python process
+    row = numbered.where(F.col("ordinal") == cut).select(*[F.col(k).cast("string") for k in keys])
+    last_train = row.first()
+    in_train = F.lit(False) if last_train is None else _not_after(df, keys, tuple(last_train))
     return df.withColumn(name, F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -105,9 +113,9 @@ def page_after(
     if after is not None:
         beyond = []
         for i, key in enumerate(keys):
-            ties = [F.col(k) == F.lit(v) for k, v in zip(keys[:i], after)]
-            beyond.append(reduce(Column.__and__, ties, F.col(key) > F.lit(after[i])))
+            ties = [F.col(k) == _bound(df, k, v) for k, v in zip(keys[:i], after)]
+            beyond.append(reduce(Column.__and__, ties, F.col(key) > _bound(df, key, after[i])))
         page = df.where(
-            (F.col(keys[0]) >= F.lit(after[0])) & reduce(Column.__or__, beyond)
+            (F.col(keys[0]) >= _bound(df, keys[0], after[0])) & reduce(Column.__or__, beyond)
         )
     return page.orderBy(*keys).limit(size)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.vectors import has_dims
+from folioscope.schema import DOC_VECTOR_DIMS
+
 
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     """One row: ``n_unique`` ids and ``n_dupes`` rows beyond the first of their id."""
@@ -44,6 +47,10 @@ def split_rejects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("url").isNull(), F.lit("no url"))
         .when(F.col("publish_date").isNull(), F.lit("no readable publish date"))
         .when(F.col("modified_date").isNull(), F.lit("no readable modified date"))
+        .when(
+            F.col("doc_vector").isNotNull() & ~has_dims(F.col("doc_vector"), DOC_VECTOR_DIMS),
+            F.lit(f"vector is not of length {DOC_VECTOR_DIMS}"),
+        )
     )
     judged = docs.withColumn("reject_reason", reason)
     return (

@@ -68,6 +68,23 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(created" in plan
 
 
+def test_page_filter_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    after = (dt.datetime(1998, 1, 1), 5)
+    page = ordinal.page_after(orders, ["o_orderdate", "o_orderkey"], 10, after)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_split_on_timestamps_with_a_hot_date(spark):
+    hot = dt.datetime(2020, 3, 29, 2, 30, 0, 123456)
+    rows = [(i, hot if i % 3 else hot + dt.timedelta(minutes=i)) for i in range(300)]
+    table = spark.createDataFrame(rows, "id bigint, at timestamp")
+    marked = ordinal.split_by_position(table, ["at", "id"], 0.5)
+    train = {r["id"] for r in marked.where("split = 'train'").collect()}
+    assert train == {i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))[:150]}
+
+
 TEXTS = [
     (1, "The Reinforcement learning of reinforcement LEARNING."),
     (2, "reinforcement-learning"),

@@ -92,6 +92,15 @@ def test_rows_without_a_date_are_rejected_with_a_reason(spark, tmp_path):
     assert [r["reject_reason"] for r in rejects.collect()] == ["no readable publish date"]
 
 
+def test_vectors_of_another_length_are_rejected(spark, tmp_path):
+    docs = ingest.normalise_osf(landed.read_osf(spark, land(tmp_path, OSF)))
+    size = F.when(F.col("source_id") == "a1", 3).otherwise(S.DOC_VECTOR_DIMS)
+    docs = docs.withColumn("doc_vector", F.array_repeat(F.lit(1.0).cast("float"), size))
+    good, rejects = split_rejects(docs)
+    assert sorted(r["source_id"] for r in good.collect()) == ["a2", "a3"]
+    assert [r["reject_reason"] for r in rejects.collect()] == ["vector is not of length 256"]
+
+
 def test_osf_records(spark, tmp_path):
     docs = ingest.normalise_osf(landed.read_osf(spark, land(tmp_path, OSF)))
     one, two, three = docs.orderBy("source_id").collect()

@@ -81,3 +81,29 @@ def test_payloads_land_by_date(spark, tmp_path):
     sinks.land_payload(payload, path)
     assert spark.read.json(path).count() == 2
     assert "ingest_date" in spark.read.json(path).columns
+
+
+def test_xml_pages_stream_into_the_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tests.test_records import OAI
+
+    (tmp_path / "in").mkdir()
+    table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
+
+    def normalise(raw):
+        return raw.select(
+            F.lit("arXiv").alias("source"),
+            F.col("metadata.arXiv.id").alias("source_id"),
+            F.lit(None).cast("timestamp").alias("modified_date"),
+            F.col("metadata.arXiv.title").alias("title"),
+        )
+
+    for cursor in (0, 2):
+        (tmp_path / "in" / f"{cursor}.xml").write_text(OAI.format(cursor=cursor, token="t"))
+        feed = stream.oai_stream(spark, str(tmp_path / "in"), S.OAI_RECORD)
+        stream.ingest(feed, normalise, table, progress).awaitTermination()
+    assert held(spark, table) == [
+        ("arXiv", "0704.0010", "One & two"),
+        ("arXiv", "0704.0020", "Three"),
+    ]
