@@ -72,7 +72,9 @@ def tokenize(text: Column, stop_words: Iterable[str] = ENGLISH_STOP_WORDS) -> Co
     dropped = rf"^\\|^[0-9]|^{PUNCTUATION}\z|^{NUMBER}\z"
 
     def keep(token: Column) -> Column:
-        kept = (F.char_length(token) > 1) & ~token.rlike(dropped)
+        # a token that starts with a basic letter is dropped only if it spells a number
+        plain = (token >= "a") & (token < "{") & ~token.isin("nan", "inf", "infinity")
+        kept = (F.char_length(token) > 1) & (plain | ~token.rlike(dropped))
         return kept & ~token.isin(stop) if stop else kept
 
     return F.filter(words(strip_latex(F.lower(F.coalesce(text, F.lit(""))))), keep)

@@ -124,8 +124,11 @@ def test_dense_mean_similarity(spark, monkeypatch):
         assert r["avg_cos"] == (pytest.approx(low.sum() / n) if n else None)
 
 
-def test_sparse_neighbours_match_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("heavy", [0, 3, neighbours.HEAVY_TERMS])
+def test_sparse_neighbours_match_brute_force(spark, monkeypatch, heavy):
     monkeypatch.setattr(neighbours, "BLOCK_TERMS", 40)
+    monkeypatch.setattr(neighbours, "HEAVY_TERMS", heavy)
+    monkeypatch.setattr(neighbours, "QUERY_CHUNK", 4)
     rows = corpus()
     vectors = brute(rows)
     got = collections.defaultdict(list)
