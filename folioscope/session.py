@@ -23,8 +23,6 @@ def build_session(app: str = "folioscope", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # checkpoint files go when nothing refers to them any more
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -38,20 +36,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Only a local session without the setting gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="folioscope-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="folioscope-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -60,13 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder so that later passes see the same rows.
+    """Write ``df`` as a table in the shared folder, so that later passes see the same rows.
 
     Used where two passes must agree (global ordinals) or where one result feeds several
-    branches; survives the loss of executors because nothing is recomputed.
+    branches. Nothing is recomputed when executors are lost, and later passes read only the
+    columns they need. The folder is the cluster's to clear.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from folioscope import schema as S
 DOCUMENT_KEY = ("source", "source_id")
 
 
-def create_document_table(spark: SparkSession, name: str = "preprint", path: str | None = None):
+def create_document_table(spark: SparkSession, name: str = "documents", path: str | None = None):
     """Create the document table unless it exists."""
     columns = ", ".join(
         f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
