@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import simhash
+from folioscope.llm import simhash, toxicity
 from folioscope.plans.registry import query, table
 
 
@@ -14,3 +14,17 @@ def op9_simhash(spark, sf):
     return found.select(
         "doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("tox_score").alias("score"),
+        (F.col("tox_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("tox_segments").alias("n_segments"),
+    )
