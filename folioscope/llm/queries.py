@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import simhash, toxicity
+from folioscope.llm import mixing, simhash, toxicity
 from folioscope.plans.registry import query, table
 
 
@@ -28,3 +28,60 @@ def op7_toxicity(spark, sf):
         (F.col("tox_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         F.size("tox_segments").alias("n_segments"),
     )
+
+
+# Weights, seed and quality repeat the constants of mixing.py; the order by key is a plain window.
+MIX_SQL = r"""
+WITH drawn AS (
+    SELECT doc_id, source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           -ln((('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
+                + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+           / coalesce(greatest(1 - (length(text) - length(translate(text,
+               '$%&#*|_{}<>[]\/=+~^@0123456789', ''))) / greatest(length(text), 1)::DOUBLE,
+               0.05::DOUBLE), 0.05::DOUBLE) AS key
+    FROM documents
+), sizes AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]
+               ::DOUBLE AS weight
+    FROM drawn GROUP BY source
+), levels AS (
+    SELECT *, 2.0::DOUBLE * source_size / weight AS need,
+           (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (
+               ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+           / sum(weight) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM sizes
+), targets AS (
+    SELECT source, source_size,
+           least(2.0::DOUBLE * source_size,
+                 (SELECT arg_min(level, need) FROM levels WHERE level <= need) * weight) AS target
+    FROM levels
+), plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+    FROM targets
+), summed AS (
+    SELECT d.*, p.source_size, p.target, p.epochs,
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key) - d.size / 2.0 AS middle
+    FROM drawn d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * (epochs + CASE WHEN target - epochs * source_size > 0
+                               AND middle <= target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT
+           AS taken
+FROM summed
+"""
+
+
+@query("op3_mixing", MIX_SQL)
+def op3_mixing(spark, sf):
+    mixed = mixing.mix(table(spark, sf, "documents"), measures_only=True)
+    return mixed.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+    )
