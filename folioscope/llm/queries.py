@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import mixing, simhash, toxicity
+from folioscope.llm import mixing, pii, simhash, toxicity
 from folioscope.plans.registry import query, table
+from folioscope.session import stable
 
 
 @query("op9_simhash")
@@ -85,3 +86,22 @@ def op3_mixing(spark, sf):
         F.col("mix_target").alias("target"),
         (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
     )
+
+
+@query("op1_pii")
+def op1_pii(spark, sf):
+    found = pii.find_spans(table(spark, sf, "documents").select("doc_id", "text"))
+    found = stable(found.select("doc_id", "pii_spans"))
+    weights = pii.train(found)
+    base = F.filter("pii_spans", lambda s: s["base"])
+
+    def count(kind):
+        k = pii.KINDS.index(kind)
+        return F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(pii.describe(base), 256).alias("base_sha256"),
+        pii.describe(pii.settle(F.col("pii_spans"), weights)).alias("spans"),
+    )
