@@ -4,10 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import mixing, pii, simhash, toxicity
+from folioscope.llm import bpe, mixing, pii, simhash, toxicity
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
+WORD_BPE = "word_bpe_49k.json"
+
+
+def public_vocabulary() -> bpe.Vocabulary:
+    """The public word-level vocabulary; its file is read on the driver alone."""
+    import public_tokenizers
+
+    return bpe.load_vocabulary(public_tokenizers.path(WORD_BPE))
+
+
+@query("op10_bpe")
+def op10_bpe(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, public_vocabulary(), with_ids=False)
+    return encoded.selectExpr(
+        "doc_id",
+        "bpe_n AS n_tokens",
+        "bpe_ids_sha256 AS ids_sha256",
+        "bpe_decoded_sha256 AS decoded_sha256",
+    )
+
 
 @query("op9_simhash")
 def op9_simhash(spark, sf):
