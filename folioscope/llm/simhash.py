@@ -224,16 +224,11 @@ def near_links(distinct: DataFrame, distance: int = 3, group_limit: int = GROUP_
     return links.unionAll(_wide_links(wide, distance))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = 3,
-    distance: int = 3,
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """``(key, fp, component_id)`` per row; the component is named by its smallest key."""
-    prints = stable(fingerprints(docs, key, text, shingle))
+def classes(prints: DataFrame, key: str, distance: int = 3, group_limit: int = GROUP_LIMIT):
+    """``(fp, root, component_id)`` per distinct fingerprint of ``prints``.
+
+    ``root`` is one fingerprint of the component, ``component_id`` the smallest key in it.
+    """
     nodes = stable(prints.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(near_links(nodes, distance, group_limit), "a", "b")
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -244,11 +239,51 @@ def near_duplicates(
         .groupBy("root")
         .agg(F.min("least").alias("linked_least"))
     )
-    of_print = named.join(linked, "root", "left").select(
-        "fp", F.coalesce("linked_least", "least").alias("component_id")
+    return named.join(linked, "root", "left").select(
+        "fp", "root", F.coalesce("linked_least", "least").alias("component_id")
     )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    distance: int = 3,
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """``(key, fp, component_id)`` per row; the component is named by its smallest key."""
+    prints = stable(fingerprints(docs, key, text, shingle))
+    of_print = classes(prints, key, distance, group_limit)
     return prints.join(of_print, "fp").select(key, "fp", "component_id")
 
 
+def keep_one(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    distance: int = 3,
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """One row of each component, the one of the smallest key; repeated rows are one component.
+
+    Rows are told apart by a number that is written next to them, so keys may repeat or be null.
+    """
+    numbered = stable(docs.withColumn("dedup_row", F.monotonically_increasing_id()))
+    rows = numbered.select("dedup_row", F.col(key).alias("dedup_key"))
+    prints = stable(fingerprints(numbered, "dedup_row", text, shingle))
+    keyed = stable(prints.join(rows, "dedup_row"))
+    kept = (
+        keyed.join(classes(keyed, "dedup_key", distance, group_limit), "fp")
+        .groupBy("root")
+        .agg(
+            F.min(F.struct(F.isnull("dedup_key").alias("none"), "dedup_key", "dedup_row")).alias("r")
+        )
+        .select(F.col("r.dedup_row").alias("dedup_row"))
+    )
+    return numbered.join(kept, "dedup_row", "left_semi").drop("dedup_row")
+
+
 def fingerprint_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
