@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, mixing, pii, simhash, toxicity
+from folioscope.llm import bpe, mixing, pii, simhash, topk, toxicity
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
@@ -126,3 +126,27 @@ def op1_pii(spark, sf):
         F.sha2(pii.describe(base), 256).alias("base_sha256"),
         pii.describe(pii.settle(F.col("pii_spans"), weights)).alias("spans"),
     )
+
+
+@query(
+    "op4_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(64.0::DOUBLE * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+        SELECT a.vec_id AS query_id, b.vec_id,
+               coalesce(list_sum([a.q[i] * coalesce(b.q[i], 0) FOR i IN range(1, len(a.q) + 1)]),
+                        0)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+        FROM scored
+    )
+    SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def op4_topk(spark, sf):
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
