@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, licenses, mixing, pii, simhash, topk, toxicity
+from folioscope.llm import bpe, fingerprint, licenses, mixing, pii, simhash, topk, toxicity
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
@@ -157,3 +157,8 @@ def op6_licenses(spark, sf):
     found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
     names = "n_words n_base first_word last_word base_labels labels score".split()
     return found.select("doc_id", *[F.col(f"lic_{n}").alias(n) for n in names])
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, sf):
+    return fingerprint.fingerprints(table(spark, sf, "documents"))
