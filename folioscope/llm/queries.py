@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, fingerprint, licenses, mixing, pii, simhash, topk, toxicity
+from folioscope.llm import bpe, fingerprint, licenses, mixing, pii, simhash, topk, toxicity, wrapper
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
@@ -162,3 +162,9 @@ def op6_licenses(spark, sf):
 @query("op8_fingerprints")
 def op8_fingerprints(spark, sf):
     return fingerprint.fingerprints(table(spark, sf, "documents"))
+
+
+@query("op2_html")
+def op2_html(spark, sf):
+    found = wrapper.extract(table(spark, sf, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
