@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, fingerprint, licenses, mixing, pii, simhash, topk, toxicity, wrapper
+from folioscope.llm import bpe, fingerprint, langid, licenses, mixing, pii, simhash, topk, toxicity, wrapper
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
@@ -168,3 +168,15 @@ def op8_fingerprints(spark, sf):
 def op2_html(spark, sf):
     found = wrapper.extract(table(spark, sf, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op5_langid")
+def op5_langid(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )
