@@ -163,7 +163,7 @@ def predict_batch(texts: list, emissions: Emissions) -> list[tuple[str, float]]:
     out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
     if not field.languages:
         return out
-    words = [words_of(t) for t in texts]
+    words = [words_of(t) if has_letter(t) else [] for t in texts]
     for run in side_by_side([len(w) for w in words]):
         scores = [emissions.rows(words[i]) for i in run]
         found, _ = forward_backward(scores, field.transitions)
@@ -222,7 +222,7 @@ def gradient(texts: list, owns: list, field: Field, odds: dict):
 
 
 def _lexicon(sample: DataFrame, languages: list) -> dict:
-    """Log-odds of sampled words per language, from document counts; a bounded sample bounds it."""
+    """Log-odds of sampled words per language, from their counts; a bounded sample bounds it."""
     import numpy as np
 
     def run(batches: Iterator) -> Iterator:
@@ -231,7 +231,7 @@ def _lexicon(sample: DataFrame, languages: list) -> dict:
         for batch in batches:
             counts: dict = {}
             for text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word in set(words_of(text)):
+                for word in words_of(text):
                     counts[word, own] = counts.get((word, own), 0) + 1
             if counts:
                 columns = zip(*((w, o, n) for (w, o), n in counts.items()))

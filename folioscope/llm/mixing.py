@@ -115,7 +115,7 @@ def mix_plan(drawn: DataFrame) -> DataFrame:
     sizes = drawn.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
     plan = stable(
         source_targets(sizes)
-        .withColumn("epochs", F.coalesce(F.floor(F.expr("target / source_size")), F.lit(0)))
+        .withColumn("epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
         .withColumn("rest", F.expr("target - epochs * source_size"))
     )
     # at most as many rows per source as there are slices meet in this window

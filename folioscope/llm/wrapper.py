@@ -297,7 +297,8 @@ def blocks(root: Node, constant: set[int]) -> list[str]:
         else:
             # a page header is furniture, the header of an article is part of it
             own_header = inside and item.tag == "header" and not item.marks
-            if (_is_furniture(item) and not own_header) or (item.number in constant and not inside):
+            template = item.number in constant and not (inside or _is_region(item))
+            if (_is_furniture(item) and not own_header) or template:
                 if item.tag in BLOCKS:
                     flush()
                 continue
