@@ -36,3 +36,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def has_dims(a: Column, dims: int) -> Column:
     return F.coalesce(F.size(a) == dims, F.lit(False))
+
+
+def is_complete(a: Column, dims: int) -> Column:
+    """Whether ``a`` has exactly ``dims`` values and none of them is null."""
+    return has_dims(a, dims) & ~F.coalesce(F.exists(a, F.isnull), F.lit(False))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -106,16 +104,15 @@ def page_after(
 ) -> DataFrame:
     """The ``size`` rows that follow the row with key values ``after``; the first page without.
 
-    Comparing the leading key on its own lets the scan skip what earlier pages showed. Keys are
-    taken to be non-null.
+    Nulls come last, as everywhere here. Comparing the leading key on its own lets the scan skip
+    what earlier pages showed.
     """
     page = df
     if after is not None:
-        beyond = []
-        for i, key in enumerate(keys):
-            ties = [F.col(k) == _bound(df, k, v) for k, v in zip(keys[:i], after)]
-            beyond.append(reduce(Column.__and__, ties, F.col(key) > _bound(df, key, after[i])))
-        page = df.where(
-            (F.col(keys[0]) >= _bound(df, keys[0], after[0])) & reduce(Column.__or__, beyond)
-        )
-    return page.orderBy(*keys).limit(size)
+        first = F.col(keys[0])
+        # rows before the leading key's bound are out, whatever the other keys are
+        reachable = first.isNull()
+        if after[0] is not None:
+            reachable = reachable | (first >= _bound(df, keys[0], after[0]))
+        page = df.where(reachable & ~_not_after(df, keys, after))
+    return page.orderBy(*order_columns(keys)).limit(size)

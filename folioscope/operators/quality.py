@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions.vectors import has_dims
 from folioscope.schema import DOC_VECTOR_DIMS
+from folioscope.sources.landed import CORRUPT
 
 
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
@@ -40,10 +41,38 @@ def page_audit(records: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
+def list_audit(pages: DataFrame, links: DataFrame, landed: DataFrame, link: str = "link"):
+    """One row on a pull by list pages: what ``meta`` announces against pages, links and records.
+
+    ``pages`` has the parsed ``page``; ``links`` and ``landed`` have one address per row. Also see
+    ``missing_records``.
+    """
+    meta = pages.agg(
+        F.count("*").alias("n_pages"),
+        F.max("page.meta.total").alias("total"),
+        F.max(page_count(F.col("page.meta.total"), F.col("page.meta.per_page"))).alias("announced_pages"),
+    )
+    listed = links.agg(F.count_distinct(link).alias("n_links")).scalar()
+    absent = missing_records(links, landed, link).agg(F.count("*")).scalar()
+    return meta.select("*", listed.alias("n_links"), absent.alias("n_missing")).withColumn(
+        "complete",
+        (F.col("n_pages") == F.col("announced_pages"))
+        & (F.col("n_links") == F.col("total"))
+        & (F.col("n_missing") == 0),
+    )
+
+
+def missing_records(links: DataFrame, landed: DataFrame, link: str = "link") -> DataFrame:
+    """Listed addresses without a landed record."""
+    return links.select(link).distinct().join(landed.select(link).distinct(), link, "left_anti")
+
+
 def split_rejects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows fit for the document table, and the rest with a reason each."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in docs.columns else F.lit(False)
     reason = (
-        F.when(F.col("source").isNull(), F.lit("no source"))
+        F.when(corrupt, F.lit("unreadable line"))
+        .when(F.col("source").isNull(), F.lit("no source"))
         .when(F.col("url").isNull(), F.lit("no url"))
         .when(F.col("publish_date").isNull(), F.lit("no readable publish date"))
         .when(F.col("modified_date").isNull(), F.lit("no readable modified date"))

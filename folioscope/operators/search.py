@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import let
+from folioscope.session import stable
 
 K1 = 1.2
 B = 0.75
@@ -50,6 +51,9 @@ def _could_match(text: Column, phrase: list[str]) -> Column:
 def match_phrase(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     """The rows that hold the phrase, with its frequency ``freq`` and length ``n_words``."""
     wanted = phrase_words(phrase)
+    if not wanted:
+        no_hit = F.lit(0).cast("bigint")
+        return docs.where(F.lit(False)).withColumns({"freq": no_hit, "n_words": no_hit})
     # both numbers come from one pass over the words of the row
     counted = let(
         analyse(F.col(text)),
@@ -65,6 +69,53 @@ def match_phrase(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     )
 
 
+def phrase_counts(docs: DataFrame, key: str, text: str, phrase: str) -> DataFrame:
+    """``(key, n_words, freq, has)`` per document with words: one splitting of each text.
+
+    ``has`` tells for each word of the phrase whether the document holds it. Statistics, hits and
+    their total all follow from this narrow table.
+    """
+    wanted = phrase_words(phrase)
+
+    def measures(terms: Column) -> Column:
+        freq = phrase_frequency(terms, wanted) if wanted else F.lit(0)
+        has = F.array(*[F.array_contains(terms, w) for w in wanted]).cast("array<boolean>")
+        return F.struct(
+            F.size(terms).cast("bigint").alias("n_words"),
+            freq.cast("bigint").alias("freq"),
+            has.alias("has"),
+        )
+
+    counted = F.inline_outer(F.array(let(analyse(F.col(text)), measures)))
+    return stable(docs.select(key, counted)).where(F.col("n_words") > 0)
+
+
+def ranked_hits(counts: DataFrame, phrase: str) -> DataFrame:
+    """``phrase_counts`` rows that hold the phrase, with their BM25 ``score``."""
+    size = len(phrase_words(phrase))
+    stats = counts.agg(
+        F.count("*").alias("n_docs"),
+        F.avg("n_words").alias("avg_words"),
+        *[F.count_if(F.get("has", F.lit(i))).alias(f"df{i}") for i in range(size)],
+    )
+    return _scored(counts.where(F.col("freq") > 0).drop("has"), _with_idf(stats, size))
+
+
+def _with_idf(counts: DataFrame, size: int) -> DataFrame:
+    idf = F.lit(0.0)
+    for i in range(size):
+        df = F.col(f"df{i}")
+        idf = idf + F.log(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5))
+    return counts.select("n_docs", "avg_words", idf.alias("idf"))
+
+
+def _scored(matches: DataFrame, stats: DataFrame) -> DataFrame:
+    stat = stats.select(F.struct("avg_words", "idf").alias("s")).scalar()
+    freq = F.col("freq")
+    norm = K1 * (1 - B + B * F.col("n_words") / stat["avg_words"])
+    return matches.withColumn("score", stat["idf"] * freq * (K1 + 1) / (freq + norm))
+
+
 def corpus_statistics(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     """One row: documents that hold words, their mean length, and the summed idf of the phrase.
 
@@ -87,22 +138,12 @@ def corpus_statistics(docs: DataFrame, text: str, phrase: str) -> DataFrame:
             *[F.count_if(F.col(f"has{i}")).alias(f"df{i}") for i in range(len(wanted))],
         )
     )
-    idf = F.lit(0.0)
-    for i in range(len(wanted)):
-        df = F.col(f"df{i}")
-        idf = idf + F.log(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5))
-    return counts.select("n_docs", "avg_words", idf.alias("idf"))
+    return _with_idf(counts, len(wanted))
 
 
 def phrase_scores(docs: DataFrame, text: str, phrase: str) -> DataFrame:
     """``match_phrase`` rows with their BM25 ``score``; document lengths are exact, not rounded."""
-    stats = corpus_statistics(docs, text, phrase)
-    stat = stats.select(F.struct("avg_words", "idf").alias("s")).scalar()
-    freq = F.col("freq")
-    norm = K1 * (1 - B + B * F.col("n_words") / stat["avg_words"])
-    return match_phrase(docs, text, phrase).withColumn(
-        "score", stat["idf"] * freq * (K1 + 1) / (freq + norm)
-    )
+    return _scored(match_phrase(docs, text, phrase), corpus_statistics(docs, text, phrase))
 
 
 def top_hits(scored: DataFrame, key: str, n: int = 10) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,12 +14,26 @@ from folioscope.functions import dates as D
 from folioscope.functions.lookup import convert_categories, provider
 from folioscope.functions.records import author_names, subject_paths
 from folioscope.functions.text import strip_newlines
+from folioscope.operators.quality import split_rejects
+from folioscope.sources.landed import CORRUPT
 
+# Fixed value: the public address of an arXiv record.
 ARXIV_URL = "https://arxiv.org/abs/"
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """All columns of the document table by name; absent and empty fields become null."""
+# Where a record came from, carried to the rejects when the reader supplies it.
+ORIGIN = (CORRUPT, "file")
+
+
+def origin(raw: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in raw.columns]
+
+
+def conform(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """All columns of the document table by name; absent and empty fields become null.
+
+    ``keep`` names further columns to carry behind them.
+    """
     columns = []
     for field in S.DOCUMENT:
         if field.name not in df.columns:
@@ -30,10 +45,12 @@ def conform(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.ArrayType):
             value = F.when(F.size(value) > 0, value)
         columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *keep)
 
 
-def normalise_arxiv(raw: DataFrame, stored: Column | None = None) -> DataFrame:
+def normalise_arxiv(
+    raw: DataFrame, stored: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """arXiv records: first and last version by position give the two dates."""
     first = F.try_element_at("versions", F.lit(1))["created"]
     last = F.try_element_at("versions", F.lit(-1))["created"]
@@ -49,11 +66,15 @@ def normalise_arxiv(raw: DataFrame, stored: Column | None = None) -> DataFrame:
             strip_newlines(F.col("abstract")).alias("abstract"),
             F.array("authors").alias("authors"),
             convert_categories(F.split("categories", " ", -1)).alias("categories"),
-        )
+            *keep,
+        ),
+        keep,
     )
 
 
-def normalise_osf(raw: DataFrame, stored: Column | None = None) -> DataFrame:
+def normalise_osf(
+    raw: DataFrame, stored: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """OSF records: the provider's address names the source, subjects are two-level paths."""
     attributes = "data.attributes"
     published = D.published_or_created(
@@ -71,10 +92,23 @@ def normalise_osf(raw: DataFrame, stored: Column | None = None) -> DataFrame:
             F.col(f"{attributes}.description").alias("abstract"),
             author_names(F.col("data.embeds.contributors.data")).alias("authors"),
             subject_paths(F.col(f"{attributes}.subjects")).alias("categories"),
-        )
+            *keep,
+        ),
+        keep,
     )
 
 
+def ingest(
+    raw: DataFrame, normalise: Callable[..., DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Documents and rejects of landed records; together they are all of them.
+
+    A reject keeps the text of a line that did not parse, the file it came from, and the reason.
+    """
+    good, rejects = split_rejects(normalise(raw, keep=origin(raw)))
+    return good.drop(*ORIGIN), rejects
+
+
 def union_feeds(*feeds: DataFrame) -> DataFrame:
     """All rows of all feeds, columns matched by name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)

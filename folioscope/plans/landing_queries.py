@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from folioscope.operators import ordinal, quality
+from folioscope.plans import ingest
 from folioscope.plans.registry import query, table
 from folioscope.session import scratch_path
 from folioscope.sources import landed, sinks
@@ -85,7 +87,8 @@ def src_multi_file(spark, sf):
     """,
 )
 def src_file_order(spark, sf):
-    path = scratch_path(spark, "pulls")
+    # a folder above that is itself named like a pull must not matter
+    path = scratch_path(spark, "pulls") + "/osf-pulls"
     pulls(table(spark, sf, "events").select("event_id", "ts")).write.partitionBy("pull").json(path)
     rows = landed.read_json_lines(spark, path, "event_id bigint", with_file=True)
     ranked = rows.select("event_id", landed.file_rank(F.col("file")).alias("file"))
@@ -95,8 +98,9 @@ def src_file_order(spark, sf):
 @query(
     "src_xml",
     """
-    SELECT '0704.' || lpad(page_id::VARCHAR, 4, '0') AS id,
-      'A < B & ' || regexp_extract(html, '<title>([^<]*)</title>', 1) AS title
+    SELECT '0704.' || printf('%04d', page_id) AS id,
+      rtrim('A < B & ' || regexp_extract(html, '<title>([^<]*)</title>', 1), chr(10) || chr(9) || ' ')
+        AS title
     FROM pages
     """,
 )
@@ -104,8 +108,8 @@ def src_xml(spark, sf):
     path = scratch_path(spark, "oai")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     record = F.struct(
-        F.concat(F.lit("0704."), F.lpad(F.col("page_id").cast("string"), 4, "0")).alias("id"),
-        F.concat(F.lit("A < B & "), title).alias("title"),
+        F.concat(F.lit("0704."), F.format_string("%04d", "page_id")).alias("id"),
+        F.concat(F.lit("A <\n   B & "), title).alias("title"),
     )
     table(spark, sf, "pages").select(
         F.struct(F.concat(F.lit("oai:"), "page_id").alias("identifier")).alias("header"),
@@ -154,6 +158,7 @@ def page_audit(spark, sf):
 
 def list_pages(spark, sf):
     """Events written as list pages of at most ``PAGE`` links each, and read back."""
+    total = table(spark, sf, "events").agg(F.count("*")).scalar()
     link = F.concat(F.lit("https://api.osf.io/v2/preprints/"), "event_id", F.lit("/"))
     entry = F.struct("event_id", F.struct(link.alias("self")).alias("links"))
     pages = (
@@ -164,12 +169,12 @@ def list_pages(spark, sf):
     body = F.to_json(
         F.struct(
             F.transform("data", lambda d: F.struct(d["links"].alias("links"))).alias("data"),
-            F.struct(F.size("data").alias("total"), F.lit(PAGE).alias("per_page")).alias("meta"),
+            F.struct(total.alias("total"), F.lit(PAGE).alias("per_page")).alias("meta"),
         )
     )
     path = scratch_path(spark, "pages")
     pages.select("page_no", body.alias("value")).write.parquet(path)
-    return landed.page_links(landed.parse_list_pages(spark.read.parquet(path)), "page_no")
+    return landed.parse_list_pages(spark.read.parquet(path))
 
 
 LINKS_SQL = f"""
@@ -181,35 +186,61 @@ LINKS_SQL = f"""
 
 @query("page_links", LINKS_SQL)
 def page_links(spark, sf):
-    return list_pages(spark, sf)
+    return landed.page_links(list_pages(spark, sf), "page_no")
+
+
+@query(
+    "osf_page_audit",
+    f"""
+    SELECT count(DISTINCT event_id // {PAGE}) AS n_pages, count(*) AS total,
+      ceil(count(*) / {PAGE})::BIGINT AS announced_pages, count(DISTINCT event_id) AS n_links,
+      count(*) FILTER (event_id % 7 = 0) AS n_missing,
+      count(*) FILTER (event_id % 7 = 0) = 0 AS complete
+    FROM events
+    """,
+)
+def osf_page_audit(spark, sf):
+    """A pull that failed on every seventh record."""
+    pages = list_pages(spark, sf)
+    landed_links = table(spark, sf, "events").where("event_id % 7 <> 0").select(
+        F.concat(F.lit("https://api.osf.io/v2/preprints/"), "event_id", F.lit("/")).alias("link")
+    )
+    return quality.list_audit(pages, landed.page_links(pages, "page_no"), landed_links)
 
 
 @query("capped_links", f"{LINKS_SQL} ORDER BY page_no, pos LIMIT 250")
 def capped_links(spark, sf):
-    return ordinal.first_rows(list_pages(spark, sf), ["page_no", "pos"], 250)
+    links = landed.page_links(list_pages(spark, sf), "page_no")
+    return ordinal.first_rows(links, ["page_no", "pos"], 250)
 
 
 @query(
     "landing_dump",
     """
-    SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, count(*) AS n, sum(event_id)::BIGINT AS ids
-    FROM events GROUP BY 1
+    SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, event_id, user_id, event_type, value, props,
+      strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
+    FROM events
     """,
 )
 def landing_dump(spark, sf):
     path = scratch_path(spark, "landing")
     events = table(spark, sf, "events")
-    sinks.land_payload(events, path, F.to_date("ts"))
-    back = spark.read.schema("event_id bigint, ingest_date date").json(path)
-    return back.groupBy(F.date_format("ingest_date", "yyyy-MM-dd").alias("ingest_date")).agg(
-        F.count("*").alias("n"), F.sum("event_id").alias("ids")
-    )
+    payload = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    sinks.land_payload(payload, path, F.to_date(F.substring("ts", 1, 10)))
+    # timestamps of payloads are text, to the microsecond
+    back = spark.read.schema(
+        "event_id bigint, ts string, user_id bigint, event_type string, value double, props string, "
+        "ingest_date date"
+    ).json(path)
+    return back.withColumn("ingest_date", F.date_format("ingest_date", "yyyy-MM-dd"))
 
 
 @query(
     "sink_append",
     """
-    SELECT o_orderkey, o_orderstatus, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+    SELECT o_orderkey, o_orderstatus, o_custkey, o_totalprice, o_orderpriority,
+      strftime(o_orderdate, '%Y-%m-%d') AS day
+    FROM orders
     """,
 )
 def sink_append(spark, sf):
@@ -224,10 +255,118 @@ def sink_append(spark, sf):
         "o_orderkey",
         "o_orderstatus",
         "o_custkey",
+        "o_totalprice",
+        "o_orderpriority",
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
     )
 
 
+@query(
+    "incremental_updates",
+    """
+    SELECT doc_id::VARCHAR AS source_id, source,
+      CASE WHEN doc_id % 3 = 0 THEN 'second ' ELSE 'first ' END || lang AS title,
+      CASE WHEN doc_id % 3 = 0 THEN '2020-02-02' ELSE '2020-01-01' END AS modified, n_versions
+    FROM documents,
+      (SELECT count(*) + count(*) FILTER (doc_id % 3 = 0) AS n_versions FROM documents)
+    """,
+)
+def incremental_updates(spark, sf):
+    """The second pull brings changed records; a third repeats both. Readers see the newest."""
+    path = scratch_path(spark, "versions")
+
+    def pull(name, day, rows):
+        return rows.select(
+            F.col("doc_id").cast("string").alias("source_id"),
+            F.concat(F.lit(f"{name} "), "lang").alias("title"),
+            F.lit(dt.datetime(2020, day, day)).cast("timestamp").alias("modified_date"),
+            "source",
+        )
+
+    docs = table(spark, sf, "documents")
+    first, second = pull("first", 1, docs), pull("second", 2, docs.where("doc_id % 3 = 0"))
+    for batch in (first, second, first.unionByName(second)):
+        sinks.keyed_append(batch, path)
+    held = spark.read.schema(first.schema).parquet(path)
+    return sinks.newest(held).select(
+        "source_id",
+        "source",
+        "title",
+        F.date_format("modified_date", "yyyy-MM-dd").alias("modified"),
+        held.agg(F.count("*")).scalar().alias("n_versions"),
+    )
+
+
+@query(
+    "sink_table",
+    """
+    SELECT source, doc_id::VARCHAR AS source_id, 'urn:d:' || doc_id AS url, text AS abstract, 2 AS times
+    FROM documents
+    """,
+)
+def sink_table(spark, sf):
+    """Create the table twice, append twice by name, and read it by name."""
+    name = f"documents_{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
+    rows = ingest.conform(
+        table(spark, sf, "documents").select(
+            "source",
+            F.col("doc_id").cast("string").alias("source_id"),
+            F.concat(F.lit("urn:d:"), "doc_id").alias("url"),
+            F.col("text").alias("abstract"),
+        )
+    )
+    for _ in range(2):
+        sinks.create_document_table(spark, name, path)
+        sinks.insert(rows, name)
+    return (
+        spark.table(name)
+        .groupBy("source", "source_id", "url", "abstract")
+        .agg(F.count("*").cast("int").alias("times"))
+    )
+
+
+@query(
+    "ingest_rejects",
+    """
+    SELECT 'd' || doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 'reject' ELSE 'document' END AS kind,
+      CASE WHEN doc_id % 3 = 0 THEN 'unreadable line' ELSE '' END AS reason,
+      CASE WHEN doc_id % 3 = 0 THEN '{"id":"d' || doc_id || '",' ELSE '' END AS raw,
+      doc_id % 3 <> 1 AS has_file
+    FROM documents WHERE doc_id % 3 < 2
+    UNION ALL
+    SELECT 'd' || doc_id, 'reject', 'no readable publish date', '', true
+    FROM documents WHERE doc_id % 3 = 2
+    """,
+)
+def ingest_rejects(spark, sf):
+    """Every third line is cut, every third record has no date; nothing is lost."""
+    path = scratch_path(spark, "arxiv")
+    docs = table(spark, sf, "documents")
+    start = F.concat(F.lit('{"id":"d'), "doc_id", F.lit('",'))
+    dated = F.lit('"versions":[{"created":"Mon, 2 Apr 2007 19:18:42 GMT"}]}')
+    kind = F.col("doc_id") % 3
+    rest = F.when(kind == 0, "").when(kind == 1, dated).otherwise('"title":"t"}')
+    docs.select(F.concat(start, rest).alias("value")).write.text(path)
+    good, rejects = ingest.ingest(landed.read_arxiv(spark, path), ingest.normalise_arxiv)
+    raw = F.coalesce(F.col(landed.CORRUPT), F.lit(""))
+    return good.select(
+        F.col("source_id").alias("id"),
+        F.lit("document").alias("kind"),
+        F.lit("").alias("reason"),
+        F.lit("").alias("raw"),
+        F.lit(False).alias("has_file"),
+    ).unionByName(
+        rejects.select(
+            F.coalesce("source_id", F.regexp_extract(raw, '"id":"([^"]*)"', 1)).alias("id"),
+            F.lit("reject").alias("kind"),
+            F.col("reject_reason").alias("reason"),
+            raw.alias("raw"),
+            F.col("file").isNotNull().alias("has_file"),
+        )
+    )
+
+
 @query(
     "bulk_append",
     "SELECT o_orderstatus, 2 * count(*) AS n FROM orders GROUP BY o_orderstatus",

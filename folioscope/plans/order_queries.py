@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.operators import ordinal, search
 from folioscope.plans.registry import query, table
+from folioscope.session import stable
 
 PHRASE = "of the"
 
@@ -55,18 +59,29 @@ def batch_assign(spark, sf):
 @query(
     "keyset_page",
     """
-    SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
-    ORDER BY o_orderdate, o_orderkey LIMIT 10 OFFSET 10
+    SELECT page, o_orderkey, o_custkey, day FROM (
+      SELECT (row_number() OVER (ORDER BY day NULLS LAST, o_orderkey) - 1) // cut + 1 AS page, *
+      FROM (SELECT o_orderkey, o_custkey,
+          CASE WHEN o_orderkey % 4 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders),
+        (SELECT count(*) // 4 + 1 AS cut FROM orders))
     """,
 )
 def keyset_page(spark, sf):
-    keys = ["o_orderdate", "o_orderkey"]
-    orders = table(spark, sf, "orders")
-    # a reader of pages holds one page at a time and asks for what follows its last row
-    last = ordinal.page_after(orders, keys, 10).select(*keys).collect()[-1]
-    return ordinal.page_after(orders, keys, 10, tuple(last)).select(
-        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
-    )
+    """Walks the whole table, a quarter at a time, dates that are missing included."""
+    keys = ["day", "o_orderkey"]
+    day = F.when(F.col("o_orderkey") % 4 != 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", day.alias("day"))
+    size = orders.count() // 4 + 1
+    pages, last = [], None
+    for number in range(1, 5):
+        page = stable(ordinal.page_after(orders, keys, size, last))
+        pages.append(page.select(F.lit(number).cast("bigint").alias("page"), "*"))
+        # a reader of pages asks for what follows the last row of the page it holds
+        ends = page.orderBy(*[F.desc_nulls_first(k) for k in keys]).select(*keys).first()
+        if ends is None:
+            break
+        last = tuple(ends)
+    return reduce(DataFrame.unionByName, pages)
 
 
 @query(
@@ -107,7 +122,7 @@ def match_phrase(spark, sf):
     """,
 )
 def phrase_topk(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    scored = search.phrase_scores(docs, "text", PHRASE).withColumn("score", F.round("score", 6))
-    total = search.hit_total(search.match_phrase(docs, "text", PHRASE)).scalar()
+    counts = search.phrase_counts(table(spark, sf, "documents"), "doc_id", "text", PHRASE)
+    scored = search.ranked_hits(counts, PHRASE).withColumn("score", F.round("score", 6))
+    total = search.hit_total(scored).scalar()
     return search.top_hits(scored, "doc_id").select("doc_id", "freq", "score", total.alias("total"))

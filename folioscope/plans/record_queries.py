@@ -279,7 +279,7 @@ def arxiv_json():
 
     return F.to_json(
         F.struct(
-            F.concat(F.lit("0704."), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("id"),
+            F.concat(F.lit("0704."), F.format_string("%06d", "doc_id")).alias("id"),
             F.concat_ws(" ", old, F.lit("cs.CL"), "lang").alias("categories"),
             F.array(created(0), created(9), created(4)).alias("versions"),
             F.concat(F.lit("Title of\n  "), "source").alias("title"),
@@ -293,8 +293,8 @@ def arxiv_json():
     "normalise_arxiv",
     f"""
     WITH rules(pos, old, new) AS (VALUES {values_list(ARXIV_CATEGORY_RENAMES)})
-    SELECT 'arXiv' AS source, '0704.' || lpad(doc_id::VARCHAR, 6, '0') AS source_id,
-      'https://arxiv.org/abs/0704.' || lpad(doc_id::VARCHAR, 6, '0') AS url,
+    SELECT 'arXiv' AS source, '0704.' || printf('%06d', doc_id) AS source_id,
+      'https://arxiv.org/abs/0704.' || printf('%06d', doc_id) AS url,
       strftime(DATE '2007-04-01' + (doc_id % 5000)::INT, '%Y-%m-%d 18:13:24') AS publish_date,
       strftime(DATE '2007-04-01' + (doc_id % 5000 + 4)::INT, '%Y-%m-%d 18:13:24') AS modified_date,
       'Title of ' || documents.source AS title,

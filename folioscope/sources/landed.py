@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import schema as S
+from folioscope.functions.text import strip_newlines
 
 CORRUPT = "_corrupt_record"
 
@@ -23,7 +24,7 @@ def read_json_lines(
 
 
 def read_arxiv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return read_json_lines(spark, paths, S.ARXIV_RECORD)
+    return read_json_lines(spark, paths, S.ARXIV_RECORD, with_file=True)
 
 
 def read_osf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -32,8 +33,11 @@ def read_osf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def file_rank(path: Column) -> Column:
-    """Sort key of a landed file or folder: ranges without a start date first, others by name."""
-    name = F.regexp_extract(path, r"(osf-[^/]*)", 1)
+    """Sort key of a landed file or folder: ranges without a start date first, others by name.
+
+    The last part of the path that is named like a pull counts, whatever the folders above it.
+    """
+    name = F.regexp_extract(path, r".*(?<![^/=])(osf-[^/]*)", 1)
     return F.when(F.contains(name, F.lit("beginning")), F.lit("osf-00")).otherwise(name)
 
 
@@ -55,7 +59,8 @@ def read_oai_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def oai_ids(records: DataFrame) -> DataFrame:
     return records.select(
-        F.col("metadata.arXiv.id").alias("id"), F.col("metadata.arXiv.title").alias("title")
+        F.col("metadata.arXiv.id").alias("id"),
+        strip_newlines(F.col("metadata.arXiv.title")).alias("title"),
     )
 
 

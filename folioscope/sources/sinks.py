@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import schema as S
+from folioscope.session import broadcast_if_small, stable
 
 DOCUMENT_KEY = ("source", "source_id")
+LOAD_TIME = "stored_date"  # differs between loads of one version
 
 
 def create_document_table(spark: SparkSession, name: str = "documents", path: str | None = None):
@@ -33,11 +37,23 @@ def append(df: DataFrame, path: str, partition: str | None = "source") -> None:
     df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def newest(df: DataFrame, keys: tuple[str, ...], stamp: str) -> DataFrame:
-    """The latest row of each key, pre-aggregated before the shuffle."""
+def _identity(df: DataFrame, keys: tuple[str, ...], ignore: tuple[str, ...] = ()) -> list[Column]:
+    """The key columns, and the content of a row in place of a key that has a null.
+
+    Rows without a full key cannot be told to be versions of each other, so only equal ones meet.
+    """
+    nameless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    content = F.sha2(F.to_json(F.struct(*sorted(set(df.columns) - set(ignore)))), 256)
+    return [*[F.col(k).alias(f"_{k}") for k in keys], F.when(nameless, content).alias("_content")]
+
+
+def newest(
+    df: DataFrame, keys: tuple[str, ...] = DOCUMENT_KEY, stamp: str = "modified_date"
+) -> DataFrame:
+    """The latest version of each key, pre-aggregated before the shuffle."""
     row = F.struct(*df.columns)
     return (
-        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        df.groupBy(*_identity(df, keys, (LOAD_TIME,)))
         .agg(F.max_by(row, F.struct(stamp, row)).alias("row"))
         .select("row.*")
     )
@@ -50,30 +66,48 @@ def keyed_append(
     stamp: str = "modified_date",
     partition: str | None = "source",
 ) -> None:
-    """Add the rows whose key the table does not hold yet, one row per key.
+    """Add the versions the table does not hold yet; a version is a key with its ``stamp``.
 
-    Running the same batch again adds nothing, so a retried batch is harmless. Keys compare
-    null-safe.
+    Running the same batch again adds nothing, so a retried batch is harmless, and a changed record
+    adds a version; readers take ``newest``. Keys and stamps compare null-safe. The table's side is
+    first cut down to the versions of the batch, so what is shuffled follows the batch.
     """
-    fresh = newest(df, keys, stamp)
+    version = (*keys, stamp)
+    row = F.struct(*df.columns)
+    fresh = stable(
+        df.groupBy(*_identity(df, version, (LOAD_TIME,)))
+        .agg(F.max(row).alias("row"))
+        .select("row.*")
+    )
     try:
         # the schema is given because values of a partition column would be guessed otherwise
-        held = (
-            df.sparkSession.read.schema(df.schema)
-            .parquet(path)
-            .select(*[F.col(k).alias(f"_held_{k}") for k in keys])
-        )
+        held = df.sparkSession.read.schema(df.schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
     else:
-        same = F.lit(True)
-        for k in keys:
-            same = same & fresh[k].eqNullSafe(held[f"_held_{k}"])
-        fresh = fresh.join(held, same, "left_anti")
+
+        def named(rows: DataFrame) -> DataFrame:
+            return rows.select("*", *_identity(rows, version, (LOAD_TIME,)))
+
+        columns = [*[f"_{k}" for k in version], "_content"]
+        asked = broadcast_if_small(named(fresh).select(columns))
+
+        def same(a: DataFrame, b: DataFrame) -> Column:
+            return reduce(Column.__and__, [a[c].eqNullSafe(b[c]) for c in columns])
+
+        rows = named(held).select(columns)
+        known = rows.join(asked, same(rows, asked), "left_semi").distinct()
+        fresh = named(fresh)
+        fresh = fresh.join(known, same(fresh, known), "left_anti").drop(*columns)
     append(fresh, path, partition)
 
 
+def insert(df: DataFrame, name: str) -> None:
+    """Append to a created table by its name, columns matched by name."""
+    df.select(df.sparkSession.table(name).columns).write.insertInto(name)
+
+
 def land_payload(df: DataFrame, path: str, date: Column | None = None) -> None:
     """Keep raw API payloads as JSON lines, one folder per ingest date."""
     day = F.current_date() if date is None else date

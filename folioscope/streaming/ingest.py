@@ -5,18 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from folioscope.plans.ingest import ingest as judge
+from folioscope.sources.landed import CORRUPT
 from folioscope.sources.sinks import DOCUMENT_KEY, keyed_append
 
 
 def landed_stream(
     spark: SparkSession, path: str, ddl: str, max_files: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(ddl)
+    """Landed JSON lines; a line that does not parse keeps its text, every row its file."""
+    reader = spark.readStream.schema(f"{ddl}, {CORRUPT} string").option(
+        "columnNameOfCorruptRecord", CORRUPT
+    )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return reader.json(path).withColumn("file", F.col("_metadata.file_path"))
 
 
 def oai_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -25,22 +31,29 @@ def oai_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 def ingest(
     landed: DataFrame,
-    normalise: Callable[[DataFrame], DataFrame],
+    normalise: Callable[..., DataFrame],
     table: str,
     checkpoint: str,
     keys: tuple[str, ...] = DOCUMENT_KEY,
     stamp: str = "modified_date",
     partition: str | None = "source",
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Append what has landed since the last run to ``table``, then stop.
 
-    The keyed append makes a repeated batch a no-op and removes repeats between pulls however far
+    With ``rejects`` the batch is judged as in ``plans.ingest.ingest``, and what is unfit is written
+    there, one folder per batch, which a repeated batch overwrites. The keyed append makes a repeated batch a no-op and removes repeats between pulls however far
     apart they are. De-duplication within a watermark is left out on purpose: it would drop
     records older than the watermark, and pulls do bring old records.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        keyed_append(normalise(batch), table, keys, stamp, partition)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if rejects is None:
+            good = normalise(batch)
+        else:
+            good, unfit = judge(batch, normalise)
+            unfit.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        keyed_append(good, table, keys, stamp, partition)
 
     return (
         landed.writeStream.foreachBatch(write)

@@ -134,7 +134,7 @@ def test_broken_lines_are_kept_apart(spark, tmp_path):
 
 
 def test_beginning_file_comes_first(spark):
-    names = ["/d/osf-2017-01-01-to-x.json", "/d/osf-beginning-to-2016.json", "/d/osf-2016-02.json"]
+    names = ["/osf-pulls/osf-2017-01-01-to-x.json", "/osf-pulls/osf-beginning-to-2016.json", "/d/osf-2016-02.json"]
     rows = spark.createDataFrame([(n,) for n in names], "p string")
     got = [r["p"] for r in rows.orderBy(landed.file_rank(F.col("p"))).collect()]
     assert got == [names[1], names[2], names[0]]

@@ -21,15 +21,42 @@ def held(spark, path):
     return sorted((r["source"], r["source_id"] or "", r["title"]) for r in rows)
 
 
-def test_keyed_append_is_idempotent(spark, tmp_path):
+def newest(spark, path):
+    rows = sinks.newest(spark.read.schema(ROW).parquet(path)).collect()
+    return sorted((r["source"], r["source_id"] or "", r["title"]) for r in rows)
+
+
+def test_keyed_append_keeps_versions_and_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "docs")
-    first = batch(spark, ("a", "01", 1, "old"), ("a", "01", 2, "new"), ("b", None, 1, "x"))
+    first = batch(
+        spark, ("a", "01", 1, "old"), ("a", "01", 2, "new"), ("b", None, 1, "x"), ("b", None, 1, "y")
+    )
     for _ in range(2):
         sinks.keyed_append(first, path)
-    want = [("a", "01", "new"), ("b", "", "x")]
+    want = [("a", "01", "new"), ("a", "01", "old"), ("b", "", "x"), ("b", "", "y")]
     assert held(spark, path) == want
-    sinks.keyed_append(batch(spark, ("a", "01", 9, "later"), ("a", "1", 1, "other")), path)
-    assert held(spark, path) == sorted([*want, ("a", "1", "other")])
+    assert newest(spark, path) == [want[0], *want[2:]]
+    later = batch(spark, ("a", "01", 9, "later"), ("a", "1", 1, "other"), ("a", "01", 1, "old"))
+    for _ in range(2):
+        sinks.keyed_append(later, path)
+    assert held(spark, path) == sorted([*want, ("a", "01", "later"), ("a", "1", "other")])
+    assert newest(spark, path) == [("a", "01", "later"), ("a", "1", "other"), *want[2:]]
+
+
+def test_stream_keeps_broken_lines_with_their_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    land(tmp_path / "in", [ARXIV[0]], "a.json")
+    (tmp_path / "in" / "b.json").write_text('{"id": "1", \n{"id": "2"}\n')
+    table, progress, rejects = (str(tmp_path / n) for n in ("table", "progress", "rejects"))
+    for _ in range(2):
+        feed = stream.landed_stream(spark, str(tmp_path / "in"), S.ARXIV_RECORD)
+        stream.ingest(
+            feed, ingest.normalise_arxiv, table, progress, rejects=rejects
+        ).awaitTermination()
+    assert [r["source_id"] for r in spark.read.schema(S.DOCUMENT).parquet(table).collect()] == ["0704.0010"]
+    got = {(r["reject_reason"], r["_corrupt_record"]) for r in spark.read.parquet(rejects).collect()}
+    assert got == {("unreadable line", '{"id": "1", '), ("no readable publish date", None)}
+    assert all(r["file"].endswith("b.json") for r in spark.read.parquet(rejects).collect())
 
 
 def test_plain_append_repeats(spark, tmp_path):

@@ -112,15 +112,21 @@ def test_dense_mean_similarity(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, i % 3, [float(x) for x in rng.normal(size=4)]) for i in range(40)]
     rows += [(100, 0, [0.0] * 4), (101, 1, [1.0, 0.0, 0.0, 0.0]), (102, 1, [0.0, 1.0, 0.0, 0.0]), (103, 9, [1.0] * 4)]
-    table = spark.createDataFrame(rows, "id bigint, label int, v array<float>")
-    result = sim.dense_mean_similarity(table, "id", "v", ["label"], block_vectors=5)
+    # these count as members and form no pair
+    unfit = [(110, 0, None), (111, 0, [1.0] * 3), (112, 0, [1.0, None, 0.0, 0.0]), (113, 7, None)]
+    table = spark.createDataFrame(rows + unfit, "id bigint, label int, v array<float>")
+    result = sim.dense_mean_similarity(table, "id", "v", ["label"], block_vectors=5, dims=4)
     for r in result.collect():
+        if r["label"] == 7:
+            assert r["n"] == 1 and r["avg_cos"] is None
+            continue
+        more = sum(label == r["label"] for _, label, _ in unfit)
         m = np.array([v for _, label, v in rows if label == r["label"]], dtype=np.float32).astype(float)
         norms = np.linalg.norm(m, axis=1, keepdims=True)
         unit = np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
         low = np.tril(unit @ unit.T, -1)
         n = np.count_nonzero(low)
-        assert r["n"] == len(m)
+        assert r["n"] == len(m) + more
         assert r["avg_cos"] == (pytest.approx(low.sum() / n) if n else None)
 
 
@@ -140,7 +146,9 @@ def test_sparse_neighbours_match_brute_force(spark, monkeypatch, heavy):
         got[r["id"]].append((r["other"], r["cos"]))
     for i, vector in vectors.items():
         scores = [(round(cosine(vector, w), 9), j) for j, w in vectors.items() if j != i]
-        want = sorted([(-s, j) for s, j in scores if s > 0])[:4]
+        if not vector:
+            continue
+        want = sorted([(-s, j) for s, j in scores if vectors[j]])[:4]
         assert got.get(i, []) == [(j, pytest.approx(-s, abs=1e-8)) for s, j in want]
 
 
@@ -148,17 +156,29 @@ def test_dense_neighbours_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_VECTORS", 7)
     rng = np.random.default_rng(6)
     m = rng.normal(size=(30, 5))
-    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id bigint, v array<double>")
+    unfit = [(90, None), (91, [1.0]), (92, [None] * 5)]
+    table = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(m)] + unfit, "id bigint, v array<double>"
+    )
     unit = m / np.linalg.norm(m, axis=1, keepdims=True)
     products = np.round(unit @ unit.T, 9)
-    got = neighbours.similar_dense(table, table, "id", "v", k=3).orderBy("id", "rank").collect()
+    got = neighbours.similar_dense(table, table, "id", "v", k=28, dims=5).orderBy("id", "rank").collect()
     want = []
     for i in range(30):
-        order = sorted((-products[i, j], j) for j in range(30) if j != i and products[i, j] > 0)[:3]
+        order = sorted((-products[i, j], j) for j in range(30) if j != i)[:28]
         want += [(i, k, j, pytest.approx(-s)) for k, (s, j) in enumerate(order, 1)]
     assert [tuple(r) for r in got] == want
 
 
+def test_neighbours_of_opposed_vectors_are_ranked(spark):
+    rows = [(1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, [0.0, 1.0])]
+    table = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = neighbours.similar_dense(table, table, "id", "v", k=2, dims=2).orderBy("id", "rank")
+    assert [(r["id"], r["other"], r["cos"]) for r in got.collect()][:2] == [(1, 3, 0.0), (1, 2, -1.0)]
+    least = neighbours.similar_dense(table, table, "id", "v", k=2, dims=2, min_score=-0.5)
+    assert least.count() == 4
+
+
 def test_cosine_of_zero_vector_is_zero(spark):
     row = spark.sql("select array(0d, 0d) a, array(1d, 2d) b, array(2d, 4d) c").select(
         V.cosine(F.col("a"), F.col("b")), V.cosine(F.col("b"), F.col("c")), V.has_dims(F.col("a"), 2)
