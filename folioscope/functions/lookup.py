@@ -56,6 +56,7 @@ OSF_PROVIDERS = {
     "indiarxiv": "IndiaRxiv",
     "biohackrxiv": "BioHackrXiv",
 }
+# Fixed value: the address that stands for the archive itself.
 OSF_PROVIDER_PREFIX = "https://api.osf.io/v2/providers/preprints/osf/"
 
 

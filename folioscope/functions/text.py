@@ -20,7 +20,8 @@ LATEX_SPAN = r"\$[^$]*(?:\$|\z)"
 # Possessive repeats keep the matcher iterative on very long hyphen chains.
 WORD = r"\$|\\\p{L}++|[\p{L}\p{N}]++(?:[-'][\p{L}\p{N}]++)*+|[^\s\p{L}\p{N}]"
 
-# The signs a token may consist of to count as punctuation; of ASCII only the backslash is missing.
+# The signs a token may consist of to count as punctuation. Of ASCII only the
+# backslash is missing.
 PUNCTUATION = r"[!'\"#$%&()*+,\-./:;<=>?@\[\]^_`{|}~]+"
 
 _DIGITS = r"\p{Nd}+(?:_\p{Nd}+)*"

@@ -17,21 +17,13 @@ from folioscope.operators.lemma import lemma_map, may_inflect
 from folioscope.session import broadcast_if_small, stable
 
 
-# A scan is cut into splits of about this size; above the second size nothing is ever re-spread.
-SPLIT_BYTES = 128 << 20
-SMALL_INPUT_BYTES = 1 << 30
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal rows out to ``partitions``, if the caller asks for it.
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input too small to be split among all cores.
-
-    A small file of one row group would otherwise be tokenised by a single task. The test reads
-    the size estimate of the plan and runs nothing; large inputs are left as they are scanned.
+    Of use for a small file of one row group, which a single task would tokenise; large inputs are
+    read by many tasks as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    small = estimate < min(cores * SPLIT_BYTES, SMALL_INPUT_BYTES)
-    return df.repartition(cores, key) if small else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def document_counts(
@@ -40,12 +32,14 @@ def document_counts(
     text: str,
     tokenizer: Callable[[Column], Column] = tokenize,
     keep: tuple[str, ...] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """``(key, counts)`` with ``counts`` an array of ``(term, tf)``; empty documents are kept.
 
-    ``keep`` names further columns to carry along.
+    ``key`` may be a struct, for documents told apart by source and id. ``keep`` names further
+    columns to carry along; ``partitions`` spreads a small input first.
     """
-    return spread(docs.select(key, text, *keep), key).select(
+    return spread(docs.select(key, text, *keep), partitions).select(
         key, *keep, term_counts(tokenizer(F.col(text))).alias("counts")
     )
 

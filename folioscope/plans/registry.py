@@ -29,3 +29,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cores(spark: SparkSession) -> int:
+    """Tasks that run at once; the test tables are single files of one row group."""
+    return spark.sparkContext.defaultParallelism

@@ -9,14 +9,15 @@ from folioscope.functions.stopwords import ENGLISH_STOP_WORDS
 from folioscope.operators import tfidf
 from folioscope.operators.lemma import lemma_map
 from folioscope.plans import oracle_sql as O
-from folioscope.plans.evaluate import features, train_and_embed
-from folioscope.plans.registry import query, table
+from folioscope.plans.evaluate import embed_all, features, train_and_embed
+from folioscope.plans.registry import cores, query, table
 from folioscope.sources import sinks
 from folioscope.session import scratch_path
 
 
 def counts_of(spark, sf):
-    return tfidf.document_counts(table(spark, sf, "documents"), "doc_id", "text")
+    docs = table(spark, sf, "documents")
+    return tfidf.document_counts(docs, "doc_id", "text", partitions=cores(spark))
 
 
 @query(
@@ -52,7 +53,7 @@ def latex_strip(spark, sf):
     """,
 )
 def tokenize(spark, sf):
-    docs = tfidf.spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    docs = tfidf.spread(table(spark, sf, "documents").select("doc_id", "text"), cores(spark))
     return docs.select("doc_id", X.tokenize(F.col("text")).alias("t")).select(
         "doc_id",
         F.size("t").cast("bigint").alias("n_tokens"),
@@ -88,7 +89,7 @@ def is_number(spark, sf):
     """,
 )
 def stopword_anti(spark, sf):
-    docs = tfidf.spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    docs = tfidf.spread(table(spark, sf, "documents").select("doc_id", "text"), cores(spark))
     tokens = docs.select(
         F.explode(X.words(X.strip_latex(F.lower("text")))).alias("token")
     ).where(F.char_length("token") > 1)
@@ -162,12 +163,60 @@ def vocab_df_limits(spark, sf):
     """,
 )
 def tfidf_weights(spark, sf):
-    embedded = train_and_embed(table(spark, sf, "documents"), "doc_id", "text", ["doc_id"])
+    docs = table(spark, sf, "documents")
+    embedded = train_and_embed(docs, "doc_id", "text", ["doc_id"], partitions=cores(spark))
     return tfidf.long_weights(embedded.vectors, "doc_id").select(
         "doc_id", "term", F.round("weight", 6).alias("weight")
     )
 
 
+@query(
+    "tfidf_two_sources",
+    f"""
+    WITH pair AS (SELECT doc_id * 2 AS doc_id, text FROM documents
+      UNION ALL SELECT doc_id * 2 + 1, lang || ' ' || source || ' ' || left(text, 200) FROM documents),
+    {O.weighted("true", "true").replace("FROM documents", "FROM pair")}
+    SELECT doc_id // 2 AS source_id, CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS source,
+      count(*) AS n_terms, round(sum(weight), 6) AS total
+    FROM weights GROUP BY ALL
+    """,
+)
+def tfidf_two_sources(spark, sf):
+    """Two sources that share all their ids; source and id together are the key."""
+    docs = table(spark, sf, "documents")
+    excerpt = F.concat_ws(" ", "lang", "source", F.substring("text", 1, 200))
+    both = docs.select(F.lit("a").alias("source"), "doc_id", "text").unionByName(
+        docs.select(F.lit("b").alias("source"), "doc_id", excerpt.alias("text"))
+    )
+    keyed = both.select(F.struct("source", F.col("doc_id").alias("source_id")).alias("key"), "text")
+    embedded = embed_all(keyed, "key", "text", partitions=cores(spark))
+    return embedded.vectors.select(
+        "key.source",
+        "key.source_id",
+        F.size("vector").cast("bigint").alias("n_terms"),
+        F.round(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x["weight"]), 6).alias("total"),
+    )
+
+
+@query(
+    "plugged_tokenizer",
+    """
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents)
+    GROUP BY ALL
+    """,
+)
+def plugged_tokenizer(spark, sf):
+    """Counts by another tokeniser: words are what stands between blanks."""
+
+    def between_blanks(text):
+        return F.split(F.lower(text), " ", -1)
+
+    docs = table(spark, sf, "documents")
+    counts = tfidf.document_counts(docs, "doc_id", "text", between_blanks, partitions=cores(spark))
+    return tfidf.long_counts(counts, "doc_id").withColumn("tf", F.col("tf").cast("bigint"))
+
+
 @query(
     "model_roundtrip",
     f"""
@@ -196,7 +245,8 @@ def model_roundtrip(spark, sf):
     """,
 )
 def test_set_roundtrip(spark, sf):
-    embedded = train_and_embed(table(spark, sf, "documents"), "doc_id", "text", ["doc_id"])
+    docs = table(spark, sf, "documents")
+    embedded = train_and_embed(docs, "doc_id", "text", ["doc_id"], partitions=cores(spark))
     path = scratch_path(spark, "testset")
     sinks.save_test_set(embedded.documents, embedded.vectors, path)
     docs, vectors = sinks.load_test_set(spark, path)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A table of at most this many narrow rows (tens of bytes each) is broadcast outright; beyond it
-# the join strategy is left to the sizes Spark measures.
+# A table of at most this many rows and bytes is broadcast outright; beyond either the join
+# strategy is left to the sizes Spark measures.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "folioscope", master: str | None = None, **conf: str) -> SparkSession:
@@ -73,6 +76,21 @@ def stable(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Write a narrow table once, count it, and mark it for broadcast when the count allows it."""
+    """Write a narrow table once, and mark it for broadcast when its counted rows and bytes allow it.
+
+    Numbers count eight bytes, texts their length, nested values that of their JSON form.
+    """
+
+    def width(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        return F.lit(8)
+
     written = stable(df)
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+    widths = reduce(Column.__add__, map(width, df.schema), F.lit(0))
+    size = F.coalesce(F.sum(widths.cast("long")), F.lit(0))
+    rows, held = written.agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(written) if rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES else written

@@ -39,5 +39,8 @@ def test_small_tables_are_marked_for_broadcast(spark, monkeypatch):
         return "Hint" in df._jdf.queryExecution().logical().toString()
 
     assert hinted(session.broadcast_if_small(spark.range(10)))
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 50)
+    assert not hinted(session.broadcast_if_small(spark.range(10)))
+    monkeypatch.undo()
     monkeypatch.setattr(session, "BROADCAST_ROWS", 9)
     assert not hinted(session.broadcast_if_small(spark.range(10)))
