@@ -29,13 +29,16 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 
+from folioscope.llm.batches import pieces
+
 WORD_END = "</w>"
 END = "\n"  # stands for the end of a word inside the automaton; byte signs never include it
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-MEMO_SIZE = 300_000
-PAIR_MEMO_SIZE = 2_000_000
+MEMO_SIZE = 120_000
+PAIR_MEMO_SIZE = 400_000
 
 
 def byte_signs() -> list[str]:
@@ -71,11 +74,6 @@ class Vocabulary:
             if any(self.rank_of.get(p, -1) >= rank for p in pair) or joined in self.halves:
                 raise ValueError("merges must join symbols made by earlier merges, each once")
             self.halves[joined], self.ranks[pair], self.rank_of[joined] = pair, rank, rank
-        self.right_edges: dict[int, list] = {}
-        self.left_edges: dict[int, list] = {}
-        for token in ids.values():
-            self.right_edges[token] = self._edge(token, 1)
-            self.left_edges[token] = self._edge(token, 0)
         self.usable = self._usable(ids)
         self._pairs: dict[int, bool] = {}
 
@@ -90,8 +88,9 @@ class Vocabulary:
 
     def _crosses(self, a: int, b: int, before: int) -> bool:
         ranks = self.ranks
-        for x, x_ends in self.right_edges[a]:
-            for y, y_ends in self.left_edges[b]:
+        edge_of_b = self._edge(b, 0)
+        for x, x_ends in self._edge(a, 1):
+            for y, y_ends in edge_of_b:
                 rank = ranks.get((x, y))
                 if rank is not None and rank < before and rank < x_ends and rank <= y_ends:
                     return True
@@ -207,35 +206,37 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", with_ids
     """
     sent = docs.sparkSession.sparkContext.broadcast({"vocabulary": vocabulary})
 
-    def run(batches: Iterator) -> Iterator:
+    def encoded(codec: Codec, batch):
         import hashlib
 
         import pyarrow as pa
 
+        sizes, ids_sums, text_sums, ids = [], [], [], []
+        for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
+            entries = list(codec.chunks(value))
+            sizes.append(sum(len(e[0]) for e in entries))
+            # a run that the pattern drops whole adds neither an id nor a blank
+            joined = " ".join(e[1] for e in entries if e[0])
+            decoded = " ".join(e[2] for e in entries if e[0])
+            ids_sums.append(hashlib.sha256(joined.encode()).hexdigest())
+            text_sums.append(hashlib.sha256(decoded.encode()).hexdigest())
+            if with_ids:
+                flat = (i for e in entries for i in e[0])
+                ids.append(np.fromiter(flat, np.int32, sizes[-1]))
+        more = [pa.array(sizes, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
+        names = ["bpe_n", "bpe_ids_sha256", "bpe_decoded_sha256"]
+        if with_ids:
+            more.append(pa.array(ids, pa.list_(pa.int32())))
+            names.append("bpe_ids")
+        return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
+
+    def run(batches: Iterator) -> Iterator:
         held = sent.value
         if "codec" not in held:
             held["codec"] = Codec(held["vocabulary"])
         codec = held["codec"]
-        for batch in batches:
-            sizes, ids_sums, text_sums, ids = [], [], [], []
-            for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
-                entries = list(codec.chunks(value))
-                sizes.append(sum(len(e[0]) for e in entries))
-                # a run that the pattern drops whole adds neither an id nor a blank
-                joined = " ".join(e[1] for e in entries if e[0])
-                decoded = " ".join(e[2] for e in entries if e[0])
-                ids_sums.append(hashlib.sha256(joined.encode()).hexdigest())
-                text_sums.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if with_ids:
-                    ids.append([i for e in entries for i in e[0]])
-            more = [pa.array(sizes, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
-            names = ["bpe_n", "bpe_ids_sha256", "bpe_decoded_sha256"]
-            if with_ids:
-                more.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("bpe_ids")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *more], names=[*batch.schema.names, *names]
-            )
+        for batch in pieces(batches):
+            yield encoded(codec, batch)
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     shape = f"{columns}, bpe_n bigint, bpe_ids_sha256 string, bpe_decoded_sha256 string"

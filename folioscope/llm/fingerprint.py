@@ -25,12 +25,14 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.batches import pieces
+
 SAMPLES = 128
 SLOTS = 1 << 16
 SEED = 20_240_229
 BUCKET_ROWS = 1024
 MOST_BUCKETS = 8192
-MEMO_SIZE = 300_000
+MEMO_SIZE = 150_000
 
 
 class Sampler:
@@ -211,7 +213,7 @@ def fingerprints(
             )
 
         waiting = None
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for bucket, guest, doc_id, value in zip(*(c.to_pylist() for c in batch.columns)):
                 if waiting is None and guest:

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.batches import pieces
 from folioscope.llm.toxicity import held_out
 from folioscope.session import stable
 
@@ -39,7 +40,8 @@ SHRINK = 1e-4
 PARTITIONS = 6
 WINDOW = 5
 OWN_BIAS = 1.5
-MEMO_SIZE = 250_000
+MEMO_SIZE = 200_000
+TEXTS_AT_ONCE = 2048
 CELLS = 200_000  # words of texts that run side by side
 UNKNOWN = "und"
 
@@ -343,7 +345,7 @@ def predict(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         emissions = Emissions(sent.value)
-        for batch in batches:
+        for batch in pieces(batches, TEXTS_AT_ONCE):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             found = predict_batch(texts, emissions)
             yield pa.RecordBatch.from_arrays(

@@ -24,6 +24,8 @@ from itertools import takewhile
 
 from pyspark.sql import DataFrame
 
+from folioscope.llm.batches import pieces
+
 # Phrases of the contract and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -257,9 +259,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         scanner = Scanner()
         place = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), place]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             values = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
             found = zip(*map(scanner.scan, values))
             yield pa.RecordBatch.from_arrays(

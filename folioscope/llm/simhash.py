@@ -22,6 +22,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.batches import pieces
 from folioscope.llm.components import components
 from folioscope.session import stable
 
@@ -62,7 +63,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in pieces(batches):
             found = [simhash_of(t or b"", shingle) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.int64())], names=["id", "fp"]

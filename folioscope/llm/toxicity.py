@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.batches import pieces
+
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 20_000
 STEMS = (6, 5, 4)
@@ -35,7 +37,7 @@ PRIOR_DOCS = 4.0
 LEAST_Z = 3.7
 REST = -0.25
 MOST_SURPRISE = 40.0
-MEMO_SIZE = 400_000
+MEMO_SIZE = 150_000
 THRESHOLD = 0.3
 
 
@@ -171,7 +173,7 @@ def _count_tokens(batches: Iterator) -> Iterator:
         )
 
     counts: dict = {}
-    for batch in batches:
+    for batch in pieces(batches):
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = set(tokens(text))
             stems = {w[:size] for w in words for size in STEMS if len(w) > size}
@@ -241,7 +243,7 @@ def _measure(model: Model, cut: float):
         import pyarrow as pa
 
         memo = Memo(model)
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 segments, n = evidence(text, memo)
@@ -340,7 +342,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         known = sent.value
         memo = Memo(known)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-        for batch in batches:
+        for batch in pieces(batches):
             scores, segments = [], []
             for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 found, n = evidence(value, memo)

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.batches import pieces
 from folioscope.session import stable
 
 SALTS = 32
@@ -460,7 +461,7 @@ def extract(
         import pyarrow as pa
 
         known = Wrappers()
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [
                 main_text(page, known[written])
                 for page, written in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
