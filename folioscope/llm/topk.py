@@ -26,6 +26,7 @@ from folioscope.session import stable
 
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 4096
+SCATTER_BELOW = 16  # postings of at least one in so many candidates are added as full columns
 LINES = 64  # queries accumulated together; their score lines stay in the processor's cache
 PARTS = {"ids": "<i8", "terms": "<i4", "sizes": "<i4", "at": "<i4", "weights": "<i8"}
 BLOCK = "block bigint, ids binary, terms binary, sizes binary, at binary, weights binary"
@@ -121,6 +122,9 @@ def accumulate(queries: list, candidates: list, k: int) -> Iterator[tuple]:
     q_ends, c_ends = np.cumsum(q_sizes), np.cumsum(c_sizes)
     place = {int(t): i for i, t in enumerate(c_terms)}
     c_weights = c_weights.astype(kind)
+    # postings that reach many candidates are laid out once, with zeros between them
+    columns: dict[int, object] = {}
+    product = np.empty(len(c_ids), dtype=kind)
     for first in range(0, len(q_ids), LINES):
         last = min(first + LINES, len(q_ids))
         scores = np.zeros((last - first, len(c_ids)), dtype=kind)
@@ -134,11 +138,15 @@ def accumulate(queries: list, candidates: list, k: int) -> Iterator[tuple]:
             weights = q_weights[own][lo:hi].astype(kind)
             postings = slice(c_ends[j] - c_sizes[j], c_ends[j])
             at, values = c_at[postings], c_weights[postings]
-            whole = len(at) == len(c_ids)  # every candidate has the term
-            for line, weight in zip(lines, weights):
-                if whole:
-                    scores[line] += weight * values
-                else:
+            if len(at) * SCATTER_BELOW >= len(c_ids):
+                if j not in columns:
+                    columns[j] = np.zeros(len(c_ids), dtype=kind)
+                    columns[j][at] = values
+                for line, weight in zip(lines, weights):
+                    np.multiply(columns[j], weight, out=product)
+                    scores[line] += product
+            else:
+                for line, weight in zip(lines, weights):
                     scores[line, at] += weight * values
         for line in range(last - first):
             row = scores[line]
