@@ -37,7 +37,7 @@ from folioscope.llm.batches import pieces
 WORD_END = "</w>"
 END = "\n"  # stands for the end of a word inside the automaton; byte signs never include it
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-MEMO_SIZE = 120_000
+MEMO_SIZE = 250_000
 PAIR_MEMO_SIZE = 400_000
 
 
