@@ -3,7 +3,8 @@
 Every page is parsed to a small tree and aligned with the reference tree of its host by simple tree
 matching (the largest set of node pairs that keeps labels, parents and order). What all pages of a
 host show at a matched node is counted: a node whose text keeps coming back is constant and belongs to
-the template, a node whose text varies is a slot. The counts are taken over all pages and are one
+the template, a node whose text varies is a slot. The counts are taken over all distinct pages (copies,
+repeated rows and mirrors, which agree in their text outside furniture, are one page) and are one
 small row per host and node. The wrapper of a host is its reference tree with these counts; a page is
 then read by aligning it once more and keeping the slots.
 
@@ -36,7 +37,11 @@ from folioscope.session import stable
 SALTS = 32
 BROADCAST_BYTES = 16 << 20
 LEAST_PAGES = 4
-CONSTANT_SHARE = 0.2
+# a node is template where its recurring texts, each on CONSTANT_SHARE of the distinct pages that reach
+# it, stand on NODE_SHARE of them together, and REACHED_SHARE of the distinct pages of the host reach it
+CONSTANT_SHARE = 0.3
+NODE_SHARE = 0.9
+REACHED_SHARE = 0.5
 # a reference stays a bounded row: larger trees keep their first nodes in page order, and page nodes
 # without a counterpart are read by their marks
 REFERENCE_NODES = 400
@@ -346,14 +351,27 @@ def reference(page: str) -> str:
     return json.dumps({"nodes": [(p, label) for _, p, label, _ in rows], "constant": {}})
 
 
-def shown_texts(page: str, wrapper: Wrapper) -> Iterator[tuple[int, int]]:
+def shown_texts(root: Node, wrapper: Wrapper) -> Iterator[tuple[int, int]]:
     """Node of the reference and sum of the text, for every matched leaf of a page."""
-    rows = skeleton(parse(page))
+    rows = skeleton(root)
     for own, at in match(rows, wrapper.rows).items():
         if rows[own][3]:
             yield at, _text_sum(rows[own][3])
 
 
+def slot_text(root: Node) -> str:
+    """All text outside furniture: pages that agree in it count as one page."""
+    parts: list[str] = []
+    todo: list = [root]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            parts.append(item)
+        elif not _is_furniture(item):
+            todo.extend(reversed(item.items))
+    return " ".join(html_codec.unescape(" ".join(parts)).split())
+
+
 def main_text(page: str | None, wrapper: Wrapper) -> str:
     root = parse(page or "")
     constant: set[int] = set()
@@ -376,23 +394,24 @@ def _references(batches: Iterator) -> Iterator:
         )
 
 
-def _counts(batches: Iterator) -> Iterator:
-    """Rows ``(host, html, wrapper)`` to counts ``(host, node, shown, n)``, added up per batch."""
+def _shown(batches: Iterator) -> Iterator:
+    """Rows ``(host, html, wrapper)`` to ``(host, slots, shown)``: a sum of the page's text outside
+    furniture, and the texts of matched nodes."""
     import pyarrow as pa
 
     known = Wrappers()
-    for batch in batches:
-        counts: dict = {}
-        for host, page, written in zip(*(c.to_pylist() for c in batch.columns)):
-            for node, shown in shown_texts(page or "", known[written]):
-                key = (host, node, shown)
-                counts[key] = counts.get(key, 0) + 1
-        if counts:
-            columns = zip(*((*k, n) for k, n in counts.items()))
-            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "node", "shown", "n"]
-            )
+    pairs = pa.list_(pa.struct([("node", pa.int32()), ("shown", pa.int64())]))
+    for batch in pieces(batches):
+        slots, shown = [], []
+        for page, written in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            root = parse(page or "")
+            slots.append(_text_sum(slot_text(root)))
+            texts = sorted(shown_texts(root, known[written]))
+            shown.append([{"node": n, "shown": t} for n, t in texts])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(slots, pa.int64()), pa.array(shown, pairs)],
+            names=["host", "slots", "shown"],
+        )
 
 
 def _beside(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
@@ -421,21 +440,40 @@ def induce(pages: DataFrame) -> DataFrame:
         .agg(F.min("html").alias("html"))
     )
     references = stable(picked.mapInArrow(_references, "host string, wrapper string"))
-    shown = (
-        _beside(pages, references)
+    # copies, repeated rows and mirrors count as one page
+    distinct = stable(
+        _beside(pages.filter(F.length("html") > 0), references)
         .select("host", "html", "wrapper")
-        .mapInArrow(_counts, "host string, node int, shown bigint, n bigint")
-        .groupBy("host", "node", "shown")
-        .agg(F.sum("n").alias("n"))
+        .mapInArrow(_shown, "host string, slots bigint, shown array<struct<node: int, shown: bigint>>")
+        .groupBy("host", "slots")
+        .agg(F.min("shown").alias("shown"))
+    )
+    shown = (
+        distinct.select("host", F.explode("shown").alias("s"))
+        .groupBy("host", "s.node", "s.shown")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    shown = stable(shown)
+    total = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    reached = shown.groupBy("host", "node").agg(F.sum("n").alias("reached"))
+    nodes = (
+        reached.join(total, "host")
+        .filter(F.col("reached") >= LEAST_PAGES)
+        .filter(F.col("reached") >= REACHED_SHARE * F.col("pages"))
+        .select("host", "node", "reached")
     )
-    total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     # at most 1 / CONSTANT_SHARE texts of a node pass, so the collected lists are bounded
     constant = (
-        shown.join(total, "host")
-        .filter((F.col("pages") >= LEAST_PAGES) & (F.col("n") >= 2))
-        .filter(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
+        shown.filter(F.col("n") >= 3)
+        .join(nodes, ["host", "node"])
+        .filter(F.col("n") >= CONSTANT_SHARE * F.col("reached"))
         .groupBy("host", "node")
-        .agg(F.collect_list("shown").alias("sums"))
+        .agg(
+            F.collect_list("shown").alias("sums"),
+            F.sum("n").alias("covered"),
+            F.first("reached").alias("reached"),
+        )
+        .filter(F.col("covered") >= NODE_SHARE * F.col("reached"))
         .groupBy("host")
         .agg(F.map_from_entries(F.collect_list(F.struct(F.col("node").cast("string"), "sums"))).alias("c"))
     )

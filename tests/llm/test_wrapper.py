@@ -86,6 +86,33 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, QUERIES["op2_html"](spark, SMALL).collect())) == want
 
 
+def page_of(body):
+    return f"<body><div>Site line of all pages</div>{body}<div>All rights kept</div></body>"
+
+
+def read_pages(spark, folder, pages):
+    rows = [(i, f"http://c.test/{i}", h) for i, h in enumerate(pages)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = QUERIES["op2_html"](spark, tables(folder, pages=frame)).collect()
+    return [r.text for r in sorted(got)]
+
+
+def test_copies_and_headings_are_no_template(spark, tmp_path):
+    def body(i, heading):
+        return page_of(f"<div><h2>{heading}</h2><p>Story {i} first</p><p>Story {i} second</p></div>")
+
+    heads = ["Introduction", "Background", "Notes", "Method", "Summary"]
+    pages = [body(i, heads[i % 5]) for i in range(20)]
+    copies = [body(100, "Copied")] * 10
+    mirror = [body(100, "Copied").replace("<body>", f"<body data-m='{i}'>") for i in range(4)]
+    got = read_pages(spark, tmp_path / "a", pages + copies + mirror)
+    want = [f"{heads[i % 5]}\nStory {i} first\nStory {i} second" for i in range(20)]
+    assert got == want + ["Copied\nStory 100 first\nStory 100 second"] * 14
+    twice = [body(i, f"Head {i}") for i in range(4)] * 2
+    got = read_pages(spark, tmp_path / "b", twice)
+    assert got == [f"Head {i}\nStory {i} first\nStory {i} second" for i in range(4)] * 2
+
+
 trees = st.recursive(
     st.sampled_from("ab").map(lambda t: (t, ())),
     lambda kids: st.tuples(st.sampled_from("ab"), st.lists(kids, max_size=3).map(tuple)),
