@@ -9,9 +9,10 @@ small row per host and node. The wrapper of a host is its reference tree with th
 then read by aligning it once more and keeping the slots.
 
 Markup that names its own purpose (menus, headers, footers, forms, notices, adverts, comments) is
-never content, and an ``article`` or ``main`` element, where a page has one, bounds the content; within
-a content region nothing further is dropped, so a passage that recurs in articles stays. Hosts with a
-single page, and nodes without a counterpart in the reference, are read by these marks alone.
+never content. Elsewhere the wrapper decides: constant nodes go, also inside an ``article`` or ``main``
+element, and slots stay, also outside of one. What it leaves open (hosts with few distinct pages, nodes
+that few pages reach or that are neither constant nor varying) is kept inside these elements, where a
+page has one, and dropped outside.
 
 A host may hold any share of the pages: references and counts are pre-aggregated minima and sums,
 and pages meet their host's wrapper by a join on host and salt, the wrappers repeated per salt.
@@ -42,6 +43,8 @@ LEAST_PAGES = 4
 CONSTANT_SHARE = 0.3
 NODE_SHARE = 0.9
 REACHED_SHARE = 0.5
+# a slot shows at least so many different texts a page that reaches it
+VARYING_SHARE = 0.5
 # a reference stays a bounded row: larger trees keep their first nodes in page order, and page nodes
 # without a counterpart are read by their marks
 REFERENCE_NODES = 400
@@ -191,8 +194,7 @@ def _is_furniture(node: Node) -> bool:
 def skeleton(root: Node) -> list[tuple]:
     """Block-level nodes of a page as rows ``(number, parent, label, text)`` in page order.
 
-    Inline elements belong to the block around them. Regions are not entered: what they hold is
-    content as a whole. Nodes get their number here.
+    Inline elements belong to the block around them. Nodes get their number here.
     """
     rows: list[tuple] = []
     todo = [(root, -1)]
@@ -200,7 +202,7 @@ def skeleton(root: Node) -> list[tuple]:
         node, parent = todo.pop()
         node.number = len(rows)
         label = node.tag + (":" + node.marks if node.marks else "")
-        leaf = _is_region(node) or node.tag in HIDDEN or not any(c.tag in BLOCKS for c in node.children)
+        leaf = node.tag in HIDDEN or not any(c.tag in BLOCKS for c in node.children)
         rows.append((node.number, parent, label, text_of(node) if leaf else None))
         if not leaf:
             own = node.number
@@ -273,8 +275,12 @@ def match(a: list[tuple], b: list[tuple]) -> dict[int, int]:
     return found
 
 
-def blocks(root: Node, constant: set[int]) -> list[str]:
-    """Text blocks of the content in page order; ``constant`` holds numbers of template nodes."""
+def blocks(root: Node, constant: set[int], varying: set[int] = frozenset()) -> list[str]:
+    """Text blocks of the content in page order.
+
+    ``constant`` holds numbers of template nodes, which go wherever they are, and ``varying`` those of
+    slots, which stay. Regions, where a page has one, decide on the text that is neither.
+    """
     has_region = False
     todo = [root]
     while todo and not has_region:
@@ -291,28 +297,28 @@ def blocks(root: Node, constant: set[int]) -> list[str]:
             out.append(text)
         line.clear()
 
-    # (item, whether inside a region); None marks the end of a block
-    stack: list[tuple] = [(root, False)]
+    # (item, whether inside a region, whether inside a slot); None marks the end of a block
+    stack: list[tuple] = [(root, False, False)]
     while stack:
-        item, inside = stack.pop()
+        item, inside, slot = stack.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
-            if inside or not has_region:
+            if inside or slot or not has_region:
                 line.append(html_codec.unescape(item))
         else:
             # a page header is furniture, the header of an article is part of it
             own_header = inside and item.tag == "header" and not item.marks
-            template = item.number in constant and not (inside or _is_region(item))
-            if (_is_furniture(item) and not own_header) or template:
+            if (_is_furniture(item) and not own_header) or item.number in constant:
                 if item.tag in BLOCKS:
                     flush()
                 continue
             inside = inside or _is_region(item)
+            slot = slot or item.number in varying
             if item.tag in BLOCKS:
                 flush()
-                stack.append((None, inside))
-            stack.extend((child, inside) for child in reversed(item.items))
+                stack.append((None, inside, slot))
+            stack.extend((child, inside, slot) for child in reversed(item.items))
     flush()
     return out
 
@@ -331,8 +337,9 @@ class Wrapper:
     """A reference tree and, for each of its nodes, the sums of the texts that are constant there."""
 
     def __init__(self, written: str | None):
-        stored = json.loads(written) if written else {"nodes": [], "constant": {}}
+        stored = json.loads(written) if written else {"nodes": [], "varying": [], "constant": {}}
         self.rows = [(i, p, label, None) for i, (p, label) in enumerate(stored["nodes"])]
+        self.varying = set(stored["varying"])
         self.constant = {int(n): set(sums) for n, sums in stored["constant"].items()}
 
 
@@ -348,7 +355,7 @@ class Wrappers(dict):
 
 def reference(page: str) -> str:
     rows = skeleton(parse(page))[:REFERENCE_NODES]
-    return json.dumps({"nodes": [(p, label) for _, p, label, _ in rows], "constant": {}})
+    return json.dumps({"nodes": [(p, label) for _, p, label, _ in rows], "varying": [], "constant": {}})
 
 
 def shown_texts(root: Node, wrapper: Wrapper) -> Iterator[tuple[int, int]]:
@@ -375,13 +382,16 @@ def slot_text(root: Node) -> str:
 def main_text(page: str | None, wrapper: Wrapper) -> str:
     root = parse(page or "")
     constant: set[int] = set()
+    varying: set[int] = set()
     rows = skeleton(root)
-    if wrapper.constant:
+    if wrapper.constant or wrapper.varying:
         for own, at in match(rows, wrapper.rows).items():
             sums = wrapper.constant.get(at)
-            if sums and rows[own][3] and _text_sum(rows[own][3]) in sums:
+            if at in wrapper.varying:
+                varying.add(own)
+            elif sums and rows[own][3] and _text_sum(rows[own][3]) in sums:
                 constant.add(own)
-    return "\n".join(blocks(root, constant))
+    return "\n".join(blocks(root, constant, varying))
 
 
 def _references(batches: Iterator) -> Iterator:
@@ -455,12 +465,14 @@ def induce(pages: DataFrame) -> DataFrame:
     )
     shown = stable(shown)
     total = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    reached = shown.groupBy("host", "node").agg(F.sum("n").alias("reached"))
+    reached = shown.groupBy("host", "node").agg(
+        F.sum("n").alias("reached"), F.count(F.lit(1)).alias("texts")
+    )
     nodes = (
         reached.join(total, "host")
         .filter(F.col("reached") >= LEAST_PAGES)
         .filter(F.col("reached") >= REACHED_SHARE * F.col("pages"))
-        .select("host", "node", "reached")
+        .select("host", "node", "reached", "texts")
     )
     # at most 1 / CONSTANT_SHARE texts of a node pass, so the collected lists are bounded
     constant = (
@@ -477,9 +489,20 @@ def induce(pages: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.map_from_entries(F.collect_list(F.struct(F.col("node").cast("string"), "sums"))).alias("c"))
     )
-    written = F.coalesce(F.to_json("c"), F.lit("{}"))
-    return references.join(constant, "host", "left").select(
-        "host", F.regexp_replace("wrapper", r"\{\}\}$", F.concat(written, F.lit("}"))).alias("wrapper")
+    varying = (
+        nodes.filter(F.col("texts") >= VARYING_SHARE * F.col("reached"))
+        .groupBy("host")
+        .agg(F.sort_array(F.collect_list("node")).alias("v"))
+    )
+    found = F.concat(
+        F.lit('"varying": '), F.coalesce(F.to_json("v"), F.lit("[]")),
+        F.lit(', "constant": '), F.coalesce(F.to_json("c"), F.lit("{}")), F.lit("}"),
+    )
+    kept = F.expr("substring_index(wrapper, '\"varying\": ', 1)")
+    return (
+        references.join(varying, "host", "left")
+        .join(constant, "host", "left")
+        .select("host", F.concat(kept, found).alias("wrapper"))
     )
 
 

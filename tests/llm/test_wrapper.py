@@ -113,6 +113,16 @@ def test_copies_and_headings_are_no_template(spark, tmp_path):
     assert got == [f"Head {i}\nStory {i} first\nStory {i} second" for i in range(4)] * 2
 
 
+def test_slots_decide_inside_and_outside_of_articles(spark, tmp_path):
+    pages = [
+        f"<body><div>Site line</div><div><p>Body {i} one</p><p>Body {i} two</p></div>"
+        f"<article><p>Teaser {i}</p><p>Tell your friends</p></article></body>"
+        for i in range(8)
+    ]
+    got = read_pages(spark, tmp_path, pages)
+    assert got == [f"Body {i} one\nBody {i} two\nTeaser {i}" for i in range(8)]
+
+
 trees = st.recursive(
     st.sampled_from("ab").map(lambda t: (t, ())),
     lambda kids: st.tuples(st.sampled_from("ab"), st.lists(kids, max_size=3).map(tuple)),
