@@ -8,8 +8,9 @@ repeated rows and mirrors, which agree in their text outside furniture, are one
 small row per host and node. The wrapper of a host is its reference tree with these counts; a page is
 then read by aligning it once more and keeping the slots.
 
-Markup that names its own purpose (menus, headers, footers, forms, notices, adverts, comments) is
-never content. Elsewhere the wrapper decides: constant nodes go, also inside an ``article`` or ``main``
+Markup that names its own purpose (menus, headers, footers, forms, notices, adverts, comments) by its
+element, its role or a whole name of a fixed list is never content, unless it is or holds an ``article``
+or ``main`` or, on a page without these, holds most of the text that varies. Elsewhere the wrapper decides: constant nodes go, also inside an ``article`` or ``main``
 element, and slots stay, also outside of one. What it leaves open (hosts with few distinct pages, nodes
 that few pages reach or that are neither constant nor varying) is kept inside these elements, where a
 page has one, and dropped outside.
@@ -51,10 +52,7 @@ REFERENCE_NODES = 400
 MATCH_CELLS = 250_000
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set(
-    "script style noscript template head title iframe object svg canvas math select button textarea "
-    "option datalist audio video map".split()
-)
+HIDDEN = set("script style noscript template head title".split())
 BLOCKS = set(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre "
@@ -65,15 +63,21 @@ CONTENT = set("article main".split())
 FURNITURE_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split()
 )
-# Words in class and id names that mark furniture, compared with whole parts of the names.
+# Class and id names that mark furniture, compared with whole tokens.
 FURNITURE_NAMES = set(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted "
-    "promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
-    "subscribe subscription signup login comment comments respond disqus reply replies sidebar aside "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer header masthead "
-    "topbar toolbar share sharing social related recommended recommendations widget widgets form "
-    "search copyright legal disclaimer skip".split()
+    "ad ads ad-box ad-slot ad-banner ad-container adv advert adverts advertisement advertising banner "
+    "sponsor sponsored promo promoted promotion cookie cookies cookie-notice cookie-banner cookie-bar "
+    "cookie-consent consent gdpr notice notices alert popup modal overlay newsletter newsletter-signup "
+    "subscribe subscription signup login comment comments comment-list comments-area respond "
+    "disqus disqus_thread reply replies sidebar side-bar aside nav navbar navigation site-nav main-nav "
+    "nav-menu main-menu menu menus breadcrumb breadcrumbs pagination pager footer site-footer "
+    "page-footer header site-header page-header masthead topbar top-bar toolbar share sharing "
+    "share-buttons social social-links social-share related related-posts related-articles recommended "
+    "recommendations widget widgets widget-area search search-form searchform copyright legal "
+    "disclaimer skip skip-link".split()
 )
+# Elements that stay furniture whatever they hold; others are none if they hold the content.
+ALWAYS_FURNITURE = set("nav footer aside".split())
 # The end of a paragraph is implied by the start of any of these.
 ENDS_PARAGRAPH = BLOCKS - {"br"}
 IMPLIED_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -95,10 +99,11 @@ SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 class Node:
     """An element with its own text pieces and children in page order."""
 
-    __slots__ = ("tag", "marks", "items", "number")
+    __slots__ = ("tag", "marks", "items", "number", "holds_content")
 
     def __init__(self, tag: str, marks: str = ""):
         self.tag, self.marks, self.items, self.number = tag, marks, [], -1
+        self.holds_content = tag in ("html", "body")
 
     @property
     def children(self) -> list[Node]:
@@ -107,6 +112,7 @@ class Node:
 
 def _marks(attributes: str) -> str:
     """``furniture``, ``hidden``, ``content`` or nothing, from the attributes of a tag."""
+    found = ""
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -117,9 +123,9 @@ def _marks(attributes: str) -> str:
             return "furniture"
         if name == "role" and value in ("main", "article"):
             return "content"
-        if name in ("class", "id") and FURNITURE_NAMES.intersection(re.split(r"[^a-z]+", value)):
-            return "furniture"
-    return ""
+        if name in ("class", "id") and FURNITURE_NAMES.intersection(value.split()):
+            found = "furniture"
+    return found
 
 
 def parse(page: str) -> Node:
@@ -164,6 +170,9 @@ def parse(page: str) -> Node:
         stack[-1].items.append(node)
         if tag in RAW_END:
             end = RAW_END[tag].search(page, at)
+            stop = end.start() if end else len(page)
+            if tag == "textarea" and stop > at:
+                node.items.append(page[at:stop])
             at = end.end() if end else len(page)
         elif tag not in VOID and not (attributes or "").endswith("/"):
             stack.append(node)
@@ -188,7 +197,46 @@ def _is_region(node: Node) -> bool:
 
 
 def _is_furniture(node: Node) -> bool:
-    return node.tag in HIDDEN or node.tag in FURNITURE or node.marks in ("furniture", "hidden")
+    if node.tag in HIDDEN or node.tag in ALWAYS_FURNITURE or node.marks == "hidden":
+        return True
+    return (node.tag in FURNITURE or node.marks == "furniture") and not node.holds_content
+
+
+def find_content(root: Node, constant: set[int] = frozenset()) -> None:
+    """Mark nodes that are no furniture whatever they are called.
+
+    These hold an ``article`` or ``main``, or are one; on a page without, they hold most of its text
+    that is neither constant nor in links nor in elements that are always furniture.
+    """
+    order: list[tuple] = []  # (node, place of its parent)
+    todo = [(root, -1)]
+    while todo:
+        node, parent = todo.pop()
+        if node.tag in HIDDEN or node.tag in ALWAYS_FURNITURE or node.marks == "hidden":
+            continue
+        order.append((node, parent))
+        todo.extend((c, len(order) - 1) for c in node.children)
+    regions = [_is_region(node) for node, _ in order]
+    if any(regions):
+        for at in range(len(order) - 1, -1, -1):
+            node, parent = order[at]
+            node.holds_content = node.holds_content or regions[at]
+            if parent >= 0 and regions[at]:
+                regions[parent] = True
+        return
+    if not any(n.tag in FURNITURE or n.marks == "furniture" for n, _ in order):
+        return
+    sizes = [0] * len(order)
+    for at in range(len(order) - 1, -1, -1):
+        node, parent = order[at]
+        if node.tag == "a" or node.number in constant:
+            sizes[at] = 0
+        else:
+            sizes[at] += sum(len(i.strip()) for i in node.items if isinstance(i, str))
+        if parent >= 0:
+            sizes[parent] += sizes[at]
+    for (node, _), size in zip(order, sizes):
+        node.holds_content = node.holds_content or 2 * size > sizes[0]
 
 
 def skeleton(root: Node) -> list[tuple]:
@@ -281,6 +329,7 @@ def blocks(root: Node, constant: set[int], varying: set[int] = frozenset()) -> l
     ``constant`` holds numbers of template nodes, which go wherever they are, and ``varying`` those of
     slots, which stay. Regions, where a page has one, decide on the text that is neither.
     """
+    find_content(root, constant)
     has_region = False
     todo = [root]
     while todo and not has_region:
@@ -415,6 +464,7 @@ def _shown(batches: Iterator) -> Iterator:
         slots, shown = [], []
         for page, written in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             root = parse(page or "")
+            find_content(root)
             slots.append(_text_sum(slot_text(root)))
             texts = sorted(shown_texts(root, known[written]))
             shown.append([{"node": n, "shown": t} for n, t in texts])

@@ -86,6 +86,24 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, QUERIES["op2_html"](spark, SMALL).collect())) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<body class='no-sidebar'><p>text</p></body>", "text"),
+        ("<body class='sidebar'><p>text</p></body>", "text"),
+        ("<div class='content has-sidebar'><article>a</article></div>", "a"),
+        ("<div class='sidebar'><article>a</article></div>", "a"),
+        ("<article class='post comments comments-open'>a</article>", "a"),
+        ("<div id='social-history'>a</div>", "a"),
+        ("<form><div class='widget'><p>most of the text</p></div><p>end</p></form>", "most of the text\nend"),
+        ("<div class='menu'><a href=x>many long links</a></div><p>text</p>", "text"),
+        ("<p>x <math>y</math> <button>z</button> <textarea>a&amp;b</textarea></p>", "x y z a&b"),
+    ],
+)
+def test_names_do_not_take_the_content(page, want):
+    assert wrapper.main_text(page, wrapper.Wrapper(None)) == want
+
+
 def page_of(body):
     return f"<body><div>Site line of all pages</div>{body}<div>All rights kept</div></body>"
 
