@@ -46,10 +46,9 @@ NODE_SHARE = 0.9
 REACHED_SHARE = 0.5
 # a slot shows at least so many different texts a page that reaches it
 VARYING_SHARE = 0.5
-# a reference stays a bounded row: larger trees keep their first nodes in page order, and page nodes
-# without a counterpart are read by their marks
-REFERENCE_NODES = 400
-MATCH_CELLS = 250_000
+# tables of more cells are not held: the child lists are halved until they fit
+CELLS_AT_ONCE = 4_000_000
+WRAPPER_NODES = 200_000
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template head title".split())
@@ -258,68 +257,149 @@ def skeleton(root: Node) -> list[tuple]:
     return rows
 
 
-def match(a: list[tuple], b: list[tuple]) -> dict[int, int]:
+class Shapes:
+    """Skeleton rows with the shape of every node: a number for its label and its children's shapes."""
+
+    def __init__(self, rows: list[tuple], base: Shapes | None = None):
+        self.rows = rows
+        self.kids: list[list[int]] = [[] for _ in rows]
+        for number, parent, *_ in rows:
+            if parent >= 0:
+                self.kids[parent].append(number)
+        known = base.known if base else {}
+        self.known: dict[tuple, int] = {}
+        self.below: dict[int, tuple[int, ...]] = {}
+        self.size: dict[int, int] = {}
+        self.label: dict[int, str] = {}
+        self.shape = [0] * len(rows)
+        for number in range(len(rows) - 1, -1, -1):
+            below = tuple([self.shape[k] for k in self.kids[number]])
+            key = (rows[number][2], below)
+            shape = known.get(key)
+            if shape is None:
+                shape = self.known.setdefault(key, len(known) + len(self.known))
+            if shape not in self.below:
+                self.below[shape], self.label[shape] = below, rows[number][2]
+                self.size[shape] = 1 + sum(self.size[k] for k in below)
+            self.shape[number] = shape
+
+
+def _last_row(left, right, weights):
+    """Weight of a best alignment of all of ``left`` with every prefix of ``right``."""
+    import numpy as np
+
+    row = np.zeros(len(right) + 1, dtype=np.int64)
+    for i in left:
+        best = np.maximum(row[1:], row[:-1] + weights[i, right])
+        row[1:] = np.maximum.accumulate(best)
+    return row
+
+
+def align(left, right, weights, cells: int = CELLS_AT_ONCE) -> list[tuple[int, int]]:
+    """Places of a heaviest common subsequence; memory stays linear beyond ``cells`` cells.
+
+    ``left`` and ``right`` hold rows and columns of ``weights``; weight 0 is no pair.
+    """
+    import numpy as np
+
+    n, m = len(left), len(right)
+    if not n or not m:
+        return []
+    if n == 1:
+        best = int(np.argmax(weights[left[0], right]))
+        return [(0, best)] if weights[left[0], right[best]] else []
+    if n * m > cells:
+        half = n // 2
+        ahead = _last_row(left[:half], right, weights)
+        behind = _last_row(left[half:][::-1], right[::-1], weights)[::-1]
+        cut = int(np.argmax(ahead + behind))
+        first = align(left[:half], right[:cut], weights, cells)
+        second = align(left[half:], right[cut:], weights, cells)
+        return first + [(i + half, j + cut) for i, j in second]
+    table = np.zeros((n + 1, m + 1), dtype=np.int32)
+    for i in range(n - 1, -1, -1):
+        best = np.maximum(table[i + 1, :-1], table[i + 1, 1:] + weights[left[i], right])
+        table[i, :-1] = np.maximum.accumulate(best[::-1])[::-1]
+    pairs = []
+    i = j = 0
+    while i < n and j < m:
+        weight = weights[left[i], right[j]]
+        if weight and table[i, j] == table[i + 1, j + 1] + weight:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif table[i, j] == table[i + 1, j]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def match(a: list[tuple], b: list[tuple] | Shapes) -> dict[int, int]:
     """Simple tree matching of two skeletons: ``{node of a: node of b}`` of a largest matching.
 
-    Equal runs at both ends of two child lists are paired first, which leaves small tables; what is
-    left is a longest common subsequence weighted by the matches of the subtrees.
+    Runs of equal shape at both ends of two child lists are paired first, which keeps the matching
+    largest and leaves small tables; what is left is a longest common subsequence weighted by the
+    matches of the subtrees. Equal pairs of shapes are solved once.
     """
-    kids: list[dict[int, list[int]]] = []
-    for rows in (a, b):
-        own: dict[int, list[int]] = {}
-        for number, parent, *_ in rows:
-            own.setdefault(parent, []).append(number)
-        kids.append(own)
+    import numpy as np
+
+    two = b if isinstance(b, Shapes) else Shapes(b)
+    one = Shapes(a, two)
+    if not one.rows or not two.rows or one.rows[0][2] != two.rows[0][2]:
+        return {}
+    # per pair of different shapes of one label the nodes matched, and the places of paired children
     memo: dict[tuple[int, int], tuple[int, list]] = {}
-    cells = 0
-
-    def size(x: int, y: int, depth: int = 0) -> tuple[int, list]:
-        """Nodes matched below a pair of equal label, and the pairs of children that do it."""
-        nonlocal cells
-        if (x, y) in memo:
-            return memo[x, y]
-        left, right = kids[0].get(x, []), kids[1].get(y, [])
-        pairs, total = [], 1
-        if left and right and depth < 60:
-            n, m = len(left), len(right)
-            cells += n * m
-            if cells > MATCH_CELLS:
-                # too large for tables: pair children in order while labels agree
-                for p, q in zip(left, right):
-                    if a[p][2] == b[q][2]:
-                        total += size(p, q, depth + 1)[0]
-                        pairs.append((p, q))
-            else:
-                best = [[0] * (m + 1) for _ in range(n + 1)]
-                for i in range(n - 1, -1, -1):
-                    for j in range(m - 1, -1, -1):
-                        keep = max(best[i + 1][j], best[i][j + 1])
-                        if a[left[i]][2] == b[right[j]][2]:
-                            keep = max(keep, best[i + 1][j + 1] + size(left[i], right[j], depth + 1)[0])
-                        best[i][j] = keep
-                i = j = 0
-                while i < n and j < m:
-                    if a[left[i]][2] == b[right[j]][2] and best[i][j] == best[i + 1][j + 1] + memo.get(
-                        (left[i], right[j]), (0, [])
-                    )[0]:
-                        pairs.append((left[i], right[j]))
-                        i, j = i + 1, j + 1
-                    elif best[i][j] == best[i + 1][j]:
-                        i += 1
-                    else:
-                        j += 1
-                total += best[0][0]
-        memo[x, y] = (total, pairs)
-        return memo[x, y]
+
+    def weight(x: int, y: int) -> int:
+        if x == y:
+            return one.size[x]
+        return memo[x, y][0] if one.label[x] == two.label[y] else 0
+
+    todo = [(one.shape[0], two.shape[0])]
+    while todo:
+        x, y = todo[-1]
+        if x == y or (x, y) in memo:
+            todo.pop()
+            continue
+        left, right = one.below[x], two.below[y]
+        shorter, front, back = min(len(left), len(right)), 0, 0
+        while front < shorter and left[front] == right[front]:
+            front += 1
+        while back < shorter - front and left[-1 - back] == right[-1 - back]:
+            back += 1
+        inner_left, inner_right = left[front : len(left) - back], right[front : len(right) - back]
+        rows = {v: i for i, v in enumerate(dict.fromkeys(inner_left))}
+        columns = {v: i for i, v in enumerate(dict.fromkeys(inner_right))}
+        open_pairs = [
+            (v, w)
+            for v in rows
+            for w in columns
+            if v != w and one.label[v] == two.label[w] and (v, w) not in memo
+        ]
+        if open_pairs:
+            todo.extend(open_pairs)
+            continue
+        todo.pop()
+        pairs = [(i, i) for i in range(front)]
+        if rows and columns:
+            weights = np.array([[weight(v, w) for w in columns] for v in rows], dtype=np.int64)
+            inner = align(
+                np.array([rows[v] for v in inner_left]), np.array([columns[v] for v in inner_right]), weights
+            )
+            pairs += [(i + front, j + front) for i, j in inner]
+        pairs += [(len(left) - i, len(right) - i) for i in range(back, 0, -1)]
+        memo[x, y] = 1 + sum(weight(left[i], right[j]) for i, j in pairs), pairs
 
     found: dict[int, int] = {}
-    if a and b and a[0][2] == b[0][2]:
-        size(0, 0)
-        todo = [(0, 0)]
-        while todo:
-            x, y = todo.pop()
-            found[x] = y
-            todo.extend(memo.get((x, y), (0, []))[1])
+    nodes = [(0, 0)]
+    while nodes:
+        x, y = nodes.pop()
+        found[x] = y
+        left, right = one.kids[x], two.kids[y]
+        if one.shape[x] == two.shape[y]:
+            nodes.extend(zip(left, right))
+        else:
+            nodes.extend((left[i], right[j]) for i, j in memo[one.shape[x], two.shape[y]][1])
     return found
 
 
@@ -387,30 +467,42 @@ class Wrapper:
 
     def __init__(self, written: str | None):
         stored = json.loads(written) if written else {"nodes": [], "varying": [], "constant": {}}
-        self.rows = [(i, p, label, None) for i, (p, label) in enumerate(stored["nodes"])]
+        nodes = [(p, label) for p, label, n in stored["nodes"] for _ in range(n)]
+        self.rows = [(i, p, label, None) for i, (p, label) in enumerate(nodes)]
+        self.shapes = Shapes(self.rows)
         self.varying = set(stored["varying"])
         self.constant = {int(n): set(sums) for n, sums in stored["constant"].items()}
 
 
 class Wrappers(dict):
-    """Wrappers by their written form; starts anew when it has grown to a fixed number."""
+    """Wrappers by their written form; starts anew when their nodes have grown to a fixed number."""
+
+    nodes = 0
 
     def __missing__(self, written: str | None) -> Wrapper:
-        if len(self) >= 2000:
+        if self.nodes >= WRAPPER_NODES or len(self) >= 2000:
             self.clear()
+            self.nodes = 0
         self[written] = Wrapper(written)
+        self.nodes += len(self[written].rows)
         return self[written]
 
 
 def reference(page: str) -> str:
-    rows = skeleton(parse(page))[:REFERENCE_NODES]
-    return json.dumps({"nodes": [(p, label) for _, p, label, _ in rows], "varying": [], "constant": {}})
+    """The whole tree of a page; siblings of one label in a row are written once with their number."""
+    nodes: list[list] = []
+    for _, parent, label, _ in skeleton(parse(page)):
+        if nodes and nodes[-1][:2] == [parent, label]:
+            nodes[-1][2] += 1
+        else:
+            nodes.append([parent, label, 1])
+    return json.dumps({"nodes": nodes, "varying": [], "constant": {}})
 
 
 def shown_texts(root: Node, wrapper: Wrapper) -> Iterator[tuple[int, int]]:
     """Node of the reference and sum of the text, for every matched leaf of a page."""
     rows = skeleton(root)
-    for own, at in match(rows, wrapper.rows).items():
+    for own, at in match(rows, wrapper.shapes).items():
         if rows[own][3]:
             yield at, _text_sum(rows[own][3])
 
@@ -434,7 +526,7 @@ def main_text(page: str | None, wrapper: Wrapper) -> str:
     varying: set[int] = set()
     rows = skeleton(root)
     if wrapper.constant or wrapper.varying:
-        for own, at in match(rows, wrapper.rows).items():
+        for own, at in match(rows, wrapper.shapes).items():
             sums = wrapper.constant.get(at)
             if at in wrapper.varying:
                 varying.add(own)

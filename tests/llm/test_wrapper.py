@@ -141,6 +141,34 @@ def test_slots_decide_inside_and_outside_of_articles(spark, tmp_path):
     assert got == [f"Body {i} one\nBody {i} two\nTeaser {i}" for i in range(8)]
 
 
+def test_alignment_of_long_pages_is_whole(spark, tmp_path):
+    def page(i, n):
+        body = "".join(f"<p>Line {k} of {i}</p>" + ("<h2>Part %d</h2>" % i) * (k % 90 == i) for k in range(n))
+        return f"<body><div>Top</div>{body}<div>More</div><div>Follow us</div></body>"
+
+    got = read_pages(spark, tmp_path, [page(i, 450 + 60 * i) for i in range(6)])
+    for i, text in enumerate(got):
+        lines = text.split("\n")
+        assert sum(t.startswith("Line") for t in lines) == 450 + 60 * i
+        assert not {"Top", "More", "Follow us"} & set(lines)
+
+
+def test_linear_memory_alignment_is_heaviest():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    for _ in range(60):
+        weights = draw.integers(0, 4, (4, 5))
+        left, right = draw.integers(0, 4, draw.integers(0, 14)), draw.integers(0, 5, draw.integers(0, 14))
+
+        def total(cells):
+            pairs = wrapper.align(left, right, weights, cells)
+            assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+            return sum(weights[left[i], right[j]] for i, j in pairs)
+
+        assert total(1) == total(10**6)
+
+
 trees = st.recursive(
     st.sampled_from("ab").map(lambda t: (t, ())),
     lambda kids: st.tuples(st.sampled_from("ab"), st.lists(kids, max_size=3).map(tuple)),
