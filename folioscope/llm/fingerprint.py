@@ -4,8 +4,9 @@ A text is a bag of words weighted by how often each occurs. For each of ``SAMPLE
 term draws two gamma variables and a uniform one that depend on the term and the position only;
 the term of least value, with the step its weight falls on, is the sample. Two texts share a sample
 with the chance of their generalised Jaccard similarity (sum of the smaller weights over sum of the
-larger), so the share of equal positions estimates it. Terms are hashed to ``SLOTS`` slots, which bounds
-the tables of variables; slots that two terms of a text share add their weights.
+larger), so the share of equal positions estimates it. The variables are drawn from a 64-bit hash of the
+term and the position, so terms share none; those of the first ``MEMO_TERMS`` terms of a worker are kept,
+others are drawn again for each text, with the same values.
 
 The next document needs an order over all documents without a single task: ids are cut at quantiles
 into buckets of about equal size, at most ``MOST_BUCKETS``, and the first row of each bucket is sent
@@ -28,79 +29,110 @@ from pyspark.sql import functions as F
 from folioscope.llm.batches import pieces
 
 SAMPLES = 128
-SLOTS = 1 << 16
 SEED = 20_240_229
 BUCKET_ROWS = 1024
 MOST_BUCKETS = 8192
-MEMO_SIZE = 150_000
+MEMO_TERMS = 1 << 16
+TERMS_AT_ONCE = 4096
 
 
 class Sampler:
-    """Tables of the random variables of every slot and position, and a bounded memo of slots."""
+    """The random variables of every term and position, and a bounded memo of them."""
 
-    def __init__(self, samples: int = SAMPLES, slots: int = SLOTS, seed: int = SEED):
+    def __init__(self, samples: int = SAMPLES, memo: int = MEMO_TERMS, seed: int = SEED):
         import numpy as np
 
         draw = np.random.Generator(np.random.PCG64(seed))
-        shape = (slots, samples)
-        self.r = draw.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(draw.gamma(2.0, 1.0, shape)).astype(np.float32)
-        self.beta = draw.random(shape, dtype=np.float32)
-        # the values of weight one, where the step is zero
-        self.single = self.log_c + self.r * (self.beta - 1)
-        self.samples, self.slots = samples, slots
+        self.keys = draw.integers(0, 1 << 64, (3, samples), dtype=np.uint64)
+        # r, the logarithm of c, and beta of the terms kept, and their values at weight one
+        self.table = [np.empty((memo, samples), dtype=np.float32) for _ in range(4)]
+        self.hashes = np.empty(memo, dtype=np.uint64)
+        self.samples, self.room = samples, memo
         self.memo: dict[str, int] = {}
 
-    def _slot(self, word: str) -> int:
-        import xxhash
+    def variables(self, hashes):
+        """r, log c, beta and the values at weight one (where the step is zero) of hashed terms."""
+        import numpy as np
 
-        slot = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % self.slots
-        if len(self.memo) < MEMO_SIZE and len(word) < 64:
-            self.memo[word] = slot
-        return slot
+        halves = []
+        for key in self.keys:
+            x = hashes[:, None] ^ key
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x ^= x >> np.uint64(shift)
+                x *= np.uint64(factor)
+            x ^= x >> np.uint64(31)
+            halves += [x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)]
+        u = [(h + 0.5) * 2.0**-32 for h in halves[:4]]
+        # a gamma variable of shape two is the sum of two exponential ones
+        r = -np.log(u[0] * u[1]).astype(np.float32)
+        log_c = np.log(-np.log(u[2] * u[3])).astype(np.float32)
+        beta = ((halves[4] >> np.uint64(8)) * 2.0**-24).astype(np.float32)
+        return r, log_c, beta, log_c + r * (beta - 1)
+
+    def _keep(self, words: list[str], hashes) -> None:
+        start = len(self.memo)
+        for at in range(0, len(words), TERMS_AT_ONCE):
+            part = slice(at, at + TERMS_AT_ONCE)
+            n = len(hashes[part])
+            for table, found in zip(self.table, self.variables(hashes[part])):
+                table[start + at : start + at + n] = found
+            self.hashes[start + at : start + at + n] = hashes[part]
+        self.memo.update(zip(words, range(start, start + len(words))))
 
     def bag(self, text: str):
-        """Slots and weights of a text."""
+        """Kept rows and their weights, and hashes and weights of the other terms of a text."""
         import numpy as np
+        import xxhash
 
-        weights: dict[int, int] = {}
-        memo = self.memo
-        for word, n in Counter(text.split()).items():
-            slot = memo.get(word)
-            if slot is None:
-                slot = self._slot(word)
-            weights[slot] = weights.get(slot, 0) + n
-        n = len(weights)
-        return np.fromiter(weights, np.int64, n), np.fromiter(weights.values(), np.int64, n)
+        counts = Counter(text.split())
+        new = [w for w in counts if w not in self.memo]
+        others: list[str] = []
+        if new:
+            short = [w for w in new if len(w) < 64][: self.room - len(self.memo)]
+            hashes = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new}
+            if short:
+                self._keep(short, np.array([hashes[w] for w in short], dtype=np.uint64))
+            others = [w for w in new if w not in self.memo]
+        kept = [(self.memo[w], n) for w, n in counts.items() if w in self.memo]
+        rows = np.array(kept, dtype=np.int64).reshape(-1, 2)
+        rest = np.array([hashes[w] for w in others], dtype=np.uint64) if others else None
+        return rows[:, 0], rows[:, 1], rest, np.array([counts[w] for w in others], dtype=np.int64)
 
     def sample(self, text: str):
         """One 16-bit number per position; None for a text without words."""
         import numpy as np
 
-        slots, weights = self.bag(text)
-        if not len(slots):
+        rows, weights, rest, rest_weights = self.bag(text)
+        if not len(rows) and rest is None:
             return None
         best = np.full(self.samples, np.inf, dtype=np.float32)
-        slot = np.zeros(self.samples, dtype=np.int64)
+        term = np.zeros(self.samples, dtype=np.uint64)
         step = np.zeros(self.samples, dtype=np.int64)
-        ones, more = slots[weights == 1], slots[weights > 1]
         positions = np.arange(self.samples)
-        for at in range(0, len(ones), 4096):
-            part = ones[at : at + 4096]
-            values = self.single[part]
-            least = values.argmin(axis=0)
-            lower = (found := values[least, positions]) < best
-            best[lower], slot[lower] = found[lower], part[least[lower]]
-        logs = np.log(weights[weights > 1]).astype(np.float32)
-        for at in range(0, len(more), 4096):
-            part, r, beta = more[at : at + 4096], self.r[more[at : at + 4096]], self.beta[more[at : at + 4096]]
-            steps = np.floor(logs[at : at + 4096, None] / r + beta)
-            values = self.log_c[part] - r * (steps - beta + 1)
+
+        def lowest(values, hashes, steps=None) -> None:
             least = values.argmin(axis=0)
             lower = (found := values[least, positions]) < best
-            best[lower], slot[lower] = found[lower], part[least[lower]]
-            step[lower] = steps[least[lower], positions[lower]].astype(np.int64)
-        mixed = (slot.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (
+            best[lower], term[lower] = found[lower], hashes[least[lower]]
+            step[lower] = 0 if steps is None else steps[least[lower], positions[lower]].astype(np.int64)
+
+        def weighted(r, log_c, beta, counts, hashes) -> None:
+            steps = np.floor(np.log(counts).astype(np.float32)[:, None] / r + beta)
+            lowest(log_c - r * (steps - beta + 1), hashes, steps)
+
+        r, log_c, beta, single = self.table
+        ones, more = rows[weights == 1], rows[weights > 1]
+        for at in range(0, len(ones), TERMS_AT_ONCE):
+            part = ones[at : at + TERMS_AT_ONCE]
+            lowest(single[part], self.hashes[part])
+        counts = weights[weights > 1]
+        for at in range(0, len(more), TERMS_AT_ONCE):
+            part = more[at : at + TERMS_AT_ONCE]
+            weighted(r[part], log_c[part], beta[part], counts[at : at + TERMS_AT_ONCE], self.hashes[part])
+        for at in range(0, 0 if rest is None else len(rest), TERMS_AT_ONCE):
+            part = rest[at : at + TERMS_AT_ONCE]
+            weighted(*self.variables(part)[:3], rest_weights[at : at + TERMS_AT_ONCE], part)
+        mixed = (term * np.uint64(0x9E3779B97F4A7C15)) ^ (
             step.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         )
         return (mixed >> np.uint64(40)).astype(">u2")

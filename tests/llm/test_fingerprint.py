@@ -62,3 +62,16 @@ def test_samples_are_weighted():
     a, b = "x " * 30 + "y z", "x " * 10 + "y z w"
     found = fingerprint.likeness(sampler.sample(a), sampler.sample(b))
     assert abs(found - jaccard(a, b)) < 0.08
+
+
+def test_long_texts_without_common_words_are_unlike():
+    sampler = fingerprint.Sampler()
+    a, b = (" ".join(f"{side}{i}" for i in range(50_000)) for side in "ab")
+    assert fingerprint.likeness(sampler.sample(a), sampler.sample(b)) < 0.03
+
+
+def test_terms_beyond_the_memo_have_the_same_variables():
+    text = " ".join(f"w{i % 700}" for i in range(1000))
+    few, many = fingerprint.Sampler(memo=50), fingerprint.Sampler()
+    assert (few.sample(text) == many.sample(text)).all()
+    assert len(few.memo) == 50
