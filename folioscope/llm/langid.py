@@ -8,7 +8,9 @@ for the document's own language: passages in another language get that language,
 how rarely it changes. Gradients are computed where the sample lies and added up on the driver, one
 bounded array per partition.
 
-A text is read whole: forward-backward gives every word its distribution over languages, the mean
+A text is read whole: a run of more than ``LONGEST`` letters, as in unspaced scripts, is several
+positions of the chain that together cover it, and every language of the table can be predicted, so the
+model grows with their number. Forward-backward gives every word its distribution over languages, the mean
 over words is the distribution of the document. Texts of similar length run side by side, one array
 step per word position.
 
@@ -32,7 +34,7 @@ from folioscope.llm.toxicity import held_out
 from folioscope.session import stable
 
 SAMPLE_DOCS = 150
-MOST_LANGUAGES = 200
+LONGEST = 40
 FEATURES = 1 << 16
 ROUNDS = 14
 RATE = 0.35
@@ -47,7 +49,8 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    return re.findall(r"[^\W\d_]+", (text or "").lower())
+    """Runs of letters; longer ones in consecutive pieces of ``LONGEST`` letters."""
+    return re.findall(rf"[^\W\d_]{{1,{LONGEST}}}", (text or "").lower())
 
 
 def has_letter(text: str | None) -> bool:
@@ -58,7 +61,7 @@ def features(word: str) -> list[int]:
     """Numbers of the word, its affixes and its trigrams."""
     from zlib import crc32
 
-    framed = f"^{word[:40]}$"
+    framed = f"^{word}$"
     names = [f"w{word}", f"p{word[:2]}", f"p{word[:3]}", f"s{word[-2:]}", f"s{word[-3:]}"]
     names += [framed[i : i + 3] for i in range(len(framed) - 2)]
     return [crc32(n.encode("utf-8", "surrogatepass")) % FEATURES for n in names]
@@ -267,15 +270,16 @@ def sample_of(docs: DataFrame, key: str, text: str, lang: str, size: int) -> tup
     known = docs.select(
         F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter(F.col("lang").isNotNull() & ~held_out(F.col("id")) & F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = known.groupBy("lang").count()
     counted = {r["lang"]: r["count"] for r in counts.collect()}
     languages = sorted(counted)
     # the draw is a hash of the id, so it can be repeated
     draw = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
-    number, share = F.lit(None).cast("int"), F.lit(0.0)
+    # one flat CASE each, however many languages there are
+    number, share = F.when(F.lit(False), 0), F.when(F.lit(False), 0.0)
     for i, name in enumerate(languages):
-        number = F.when(F.col("lang") == name, i).otherwise(number)
-        share = F.when(F.col("lang") == name, min(1.0, size / counted[name])).otherwise(share)
+        number = number.when(F.col("lang") == name, i)
+        share = share.when(F.col("lang") == name, min(1.0, size / counted[name]))
     picked = known.select("text", number.alias("own"), (draw < share).alias("picked"))
     return picked.filter("picked").select("text", "own"), languages
 

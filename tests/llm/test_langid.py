@@ -104,3 +104,19 @@ def test_without_languages(spark, tmp_path, texts):
     docs = documents(spark, texts, langs=[None] * len(texts))
     got = QUERIES["op5_langid"](spark, tables(tmp_path, documents=docs)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * len(texts)
+
+
+def test_long_runs_are_read_whole():
+    run = "".join(chr(0x4E00 + i) for i in range(95))
+    pieces = langid.words_of(f"one {run} two")
+    assert pieces == ["one", run[:40], run[40:80], run[80:], "two"]
+    a, b = "x" * 45 + "abc" + "y" * 10, "x" * 45 + "cba" + "y" * 10
+    read = [[langid.features(w) for w in langid.words_of(t)] for t in (a, b)]
+    assert read[0] != read[1]
+
+
+def test_all_languages_are_learned(spark):
+    texts = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(210) for _ in range(3)]
+    langs = [f"l{i:03d}" for i in range(210) for _ in range(3)]
+    _, languages = langid.sample_of(documents(spark, texts, langs=langs), "doc_id", "text", "lang", 5)
+    assert len(languages) > 200
