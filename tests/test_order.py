@@ -109,3 +109,15 @@ def test_phrase_may_overlap_itself(spark):
     docs = spark.createDataFrame([(1, "a a a b"), (2, "a")], "id bigint, t string")
     hits = search.match_phrase(docs, "t", "a a").collect()
     assert [(r["id"], r["freq"], r["n_words"]) for r in hits] == [(1, 2, 4)]
+
+
+def test_query_of_pages_has_no_global_limit(spark, monkeypatch):
+    from folioscope.plans import order_queries  # noqa: F401  registers the query
+    from folioscope.plans.registry import QUERIES
+
+    def refuse(*args):
+        raise AssertionError("a page of a whole table is one task")
+
+    monkeypatch.setattr(ordinal, "page_after", refuse)
+    rows = QUERIES["keyset_page"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.page for r in rows} == {1, 2, 3, 4}
