@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, fingerprint, langid, licenses, mixing, pii, simhash, topk, toxicity, wrapper
+from folioscope.llm import (
+    bpe,
+    fingerprint,
+    langid,
+    licenses,
+    mixing,
+    pii,
+    shards,
+    simhash,
+    topk,
+    toxicity,
+    wrapper,
+)
 from folioscope.plans.registry import query, table
 from folioscope.session import stable
 
@@ -180,3 +192,52 @@ def op5_langid(spark, sf):
         "lang_pred",
         F.col("lang_score").alias("score"),
     )
+
+
+# The checksum is folded byte by byte over a table that its rule builds; the generator of the jumps runs
+# in 128 bits and is cut to 64.
+SHARD_SQL = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), held AS (
+    SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+           xor(list_reduce([4294967295::BIGINT] || [('0x' || h)::BIGINT FOR h IN
+                   regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT::HUGEINT AS seed
+    FROM documents, crc_table
+), jumps AS (
+    SELECT DISTINCT seed, seed AS state, 0::BIGINT AS jump FROM held
+    UNION ALL
+    SELECT seed, next, floor((jump + 1) * (2147483648::DOUBLE
+               / ((next // 8589934592)::BIGINT + 1)::DOUBLE))::BIGINT
+    FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS next
+          FROM jumps WHERE jump <= 8)
+), placed AS (
+    SELECT seed, max(jump) FILTER (jump < 8)::INT AS shard, max(jump) FILTER (jump < 9)::INT AS grown_shard
+    FROM jumps GROUP BY seed
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY
+           ('0x' || substr(md5('slot:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32
+               || ':' || size), 1, 13))::BIGINT, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       grown_shard
+FROM held JOIN placed USING (seed)
+"""
+
+
+@query("op12_sharding", SHARD_SQL)
+def op12_sharding(spark, sf):
+    placed = shards.number(table(spark, sf, "documents"))
+    return placed.select(
+        F.col("key").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
