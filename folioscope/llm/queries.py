@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import (
     bpe,
+    collocations,
     fingerprint,
     langid,
     licenses,
@@ -13,6 +14,7 @@ from folioscope.llm import (
     pii,
     shards,
     simhash,
+    spelling,
     topk,
     toxicity,
     wrapper,
@@ -241,3 +243,112 @@ def op12_sharding(spark, sf):
         "slot",
         "grown_shard",
     )
+
+
+# Two words are near if deleting the same place makes them equal, or one is the other without a place.
+SPELLING_SQL = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+           count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents)
+    GROUP BY ALL
+), drawn AS (
+    SELECT run, n,
+           xor(list_reduce([4294967295::BIGINT] || [('0x' || x)::BIGINT FOR x IN
+                   regexp_extract_all(hex(encode(id || ':' || run)), '..')],
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM runs, crc_table
+), words AS (
+    SELECT CASE WHEN h % 31 = 0
+                THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM drawn GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), cut AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+           row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place
+    FROM near
+), formed AS (
+    SELECT w.word, w.n, coalesce(r.n_near, 0)::BIGINT AS n_near,
+           CASE WHEN r.other_n >= 10 * w.n THEN r.other END AS form,
+           CASE WHEN r.other_n >= 10 * w.n THEN r.other_n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+), ways AS (
+    SELECT word, word AS root, 0 AS depth FROM formed
+    UNION ALL
+    SELECT ways.word, f.form, depth + 1 FROM ways JOIN formed f ON f.word = ways.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(root, depth) AS root FROM ways GROUP BY word) r USING (word)
+"""
+
+
+@query("op13_spelling", SPELLING_SQL)
+def op13_spelling(spark, sf):
+    return spelling.variants(spelling.vocabulary(table(spark, sf, "documents")))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+    UNION ALL
+    SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words
+    UNION ALL
+    SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+    FROM words
+), counts AS (
+    SELECT lang, size, phrase, count(*)::BIGINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 10
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2
+), cuts AS (
+    SELECT c.*, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+    FROM candidates c, (SELECT unnest([1, 2]) AS k) WHERE k < size
+), scored AS (
+    SELECT x.lang, x.size, x.phrase, x.a, x.k, p.f AS l, q.f AS r,
+           ((1000000::HUGEINT * x.a * x.a) // (p.f::HUGEINT * q.f))::BIGINT AS score
+    FROM cuts x JOIN counts p ON p.lang = x.lang AND p.phrase = x.head AND p.size = x.k
+                JOIN counts q ON q.lang = x.lang AND q.phrase = x.tail AND q.size = x.size - x.k
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, inner_phrase, max(a) AS longer_f
+    FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS inner_phrase
+          FROM candidates WHERE size = 3)
+    GROUP BY ALL
+), ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+    FROM lowest s LEFT JOIN longer o ON o.lang = s.lang AND o.inner_phrase = s.phrase
+    WHERE 100 * coalesce(longer_f, 0) < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_collocations", COLLOCATION_SQL)
+def op11_collocations(spark, sf):
+    return collocations.mine(table(spark, sf, "documents"))
