@@ -5,8 +5,10 @@ language and words, and the codes are dealt to hash partitions. A task counts th
 a chunk of its texts and sends each partition one summary row. A partition merges its summaries under
 the Misra-Gries rule: when more codes are held than its capacity, the (capacity + 1)-th largest count is
 taken off all of them. What is taken off a code in total stays below mass / (capacity + 1); with a
-capacity over mass / threshold, every sequence that occurs ``threshold`` times survives. Two sequences
-of one code only add up, so a collision cannot lose one either.
+capacity over mass / threshold that is less than the threshold, so a sequence that occurs ``threshold``
+times is still held, and its count with all that was taken off reaches the threshold: such codes are
+the survivors. Within a partition 32 bits of a code are enough: two sequences of one code only add up,
+so a collision cannot lose one either.
 
 The survivors mark a bit map, whose share belongs to the partition that the code falls to. Its size is
 fixed by ``MAP_BITS``, whatever the corpus; it is collected and broadcast. If it fills up, more infrequent
@@ -43,11 +45,11 @@ PER_LANG = 2_000
 UNKNOWN = "und"
 SCALE = 1_000_000
 
-CHUNK = 3_000_000  # codes counted at a time
+CHUNK = 2_000_000  # codes counted at a time
 MASS_PER_PART = 8_000_000
 MOST_PARTS = 1 << 20  # at 1 << 20 partitions the bit map has 16 bytes for each
 MAP_BITS = 1 << 27
-MOST_WORDS = 400_000  # words a task remembers between chunks
+MOST_WORDS = 250_000  # words a task remembers between chunks
 HOT_USES = 10_000
 MOST_HOT = 50_000
 
@@ -172,7 +174,7 @@ def _summaries(parts: int, longest: int, size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([owner[i] for i, _ in some], pa.int32()),
-                        pa.array([codes[i:j].tobytes() for i, j in some], pa.binary()),
+                        pa.array([codes[i:j].astype(np.uint32).tobytes() for i, j in some], pa.binary()),
                         pa.array([counts[i:j].tobytes() for i, j in some], pa.binary()),
                     ],
                     names=["part", "codes", "counts"],
@@ -181,31 +183,35 @@ def _summaries(parts: int, longest: int, size: int):
     return run
 
 
-def merge(summaries, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def merge(summaries, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
     """One Misra-Gries summary of at most ``capacity`` codes from several ``(codes, counts)``.
 
-    Summaries are taken together until they hold twice the capacity, so that work is linear in them.
+    The last value is what was taken off the counts. Summaries are taken together until they hold twice the
+    capacity, so that work is linear in them.
     """
-    codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    codes, counts, taken = np.empty(0, np.uint32), np.empty(0, np.int64), 0
     waiting, size = [], 0
 
-    def reduced(codes, counts, waiting):
+    def reduce() -> None:
+        nonlocal codes, counts, taken, waiting, size
         codes, counts = _totals(
             np.concatenate([codes, *[c for c, _ in waiting]]),
             np.concatenate([counts, *[n.astype(np.int64) for _, n in waiting]]),
         )
         if len(codes) > capacity:
-            counts = counts - np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1]
-            codes, counts = codes[counts > 0], counts[counts > 0]
-        return codes, counts
+            place = len(counts) - capacity - 1
+            off = int(np.partition(counts, place)[place])
+            codes, counts, taken = codes[counts > off], counts[counts > off] - off, taken + off
+        waiting, size = [], 0
 
     for more in summaries:
         waiting.append(more)
         size += len(more[0])
         if size > 2 * capacity:
-            codes, counts = reduced(codes, counts, waiting)
-            waiting, size = [], 0
-    return reduced(codes, counts, waiting) if waiting else (codes, counts)
+            reduce()
+    if waiting:
+        reduce()
+    return codes, counts, taken
 
 
 def _survivors(parts: int, bits: int, threshold: int):
@@ -215,13 +221,13 @@ def _survivors(parts: int, bits: int, threshold: int):
         import pyarrow as pa
 
         counts = [np.frombuffer(c.as_buffer(), np.uint32) for c in table["counts"]]
-        codes = [np.frombuffer(c.as_buffer(), np.uint64) for c in table["codes"]]
+        codes = [np.frombuffer(c.as_buffer(), np.uint32) for c in table["codes"]]
         mass = sum(int(c.sum(dtype=np.int64)) for c in counts)
-        found, _ = merge(zip(codes, counts), mass // threshold + 1)
+        held, sums, taken = merge(zip(codes, counts), mass // threshold + 1)
+        at = held[sums + taken >= threshold] & np.uint32(bits - 1)
         share = np.zeros(bits // 8, np.uint8)
-        at = found & np.uint64(bits - 1)
-        mark = np.left_shift(1, (at & np.uint64(7)).astype(np.uint8), dtype=np.uint8)
-        np.bitwise_or.at(share, (at >> np.uint64(3)).astype(np.int64), mark)
+        mark = np.left_shift(1, (at & np.uint32(7)).astype(np.uint8), dtype=np.uint8)
+        np.bitwise_or.at(share, at >> np.uint32(3), mark)
         return pa.table(
             {
                 "part": table["part"].slice(0, 1),
@@ -306,7 +312,7 @@ def frequent(
     # a word and what parts it from the next take two bytes at least
     most_words = (read.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // 2 + 1
     parts = min(max(1, -(-most_words * longest // mass_per_part)), MOST_PARTS)
-    bits = max(8, 1 << max(0, (map_bits // parts).bit_length() - 1))
+    bits = min(1 << 32, max(8, 1 << max(0, (map_bits // parts).bit_length() - 1)))
     shares = (
         read.mapInArrow(_summaries(parts, longest, chunk), "part int, codes binary, counts binary")
         .groupBy("part")

@@ -89,12 +89,13 @@ def test_merged_summaries_keep_what_is_frequent(seed):
     whole = Counter(x for items in lists for x in items)
     mass, threshold = sum(whole.values()), 10
     summaries = [
-        (np.array(sorted(c), np.uint64), np.array([c[k] for k in sorted(c)], np.uint32))
+        (np.array(sorted(c), np.uint32), np.array([c[k] for k in sorted(c)], np.uint32))
         for c in map(Counter, lists)
     ]
-    codes, counts = collocations.merge(summaries, mass // threshold + 1)
+    codes, counts, taken = collocations.merge(summaries, mass // threshold + 1)
     held = dict(zip(codes.tolist(), counts.tolist()))
-    assert len(held) <= mass // threshold + 1
+    assert len(held) <= mass // threshold + 1 and taken < threshold
+    assert all(held[x] + taken >= n for x, n in whole.items() if n >= threshold)
     assert all(held[x] > n - threshold for x, n in whole.items() if n >= threshold)
     assert all(n <= whole[x] for x, n in held.items())
 
