@@ -1,22 +1,20 @@
 """Spelling variants by an index of variable-length grams.
 
 Words one edit apart are found through a gram dictionary that is pruned by frequency: from each
-position of a word (with a mark at either end) the gram grows as long as it is frequent and shorter than
-``MOST_CHARS``, and a gram inside an earlier one is left out. Whether a gram stops depends on its own
-characters alone, so an edit leaves every gram before it as it was; a gram behind it may only
-be swallowed by a longer one that reaches over it. That gives each word a bound on how many of
-its grams one edit can affect, and the word shares all others with every word near it.
+position of a word, with a mark at either end, the gram grows as long as it is frequent and shorter than
+``MOST_CHARS``. Whether a gram stops depends on its own characters alone, so an edit affects just the
+grams that hold its place; the most that hold any one place bound how many of a word's grams an edit
+can affect. Every word near it shares all the others.
 
 Lists are merged under that bound. A word is entered in the lists of its rarest grams only, one more
-than can be affected, so two near words meet in at least one list; the longer lists are not merged but
-looked up, by counting the shared grams of a pair that met. One edit leaves everything on one side
-of an untouched gram as it was, so a list is split by what stands before the gram, and again by
-what stands behind it. Pairs that share enough grams are verified by their edit distance.
+than can be affected: the smallest gram that two near words share, in the order of rarity, is among those
+of both, so they meet in its list, and the longer lists need no merging. One edit leaves everything on
+one side of an untouched gram as it was, so a list is split by all that stands before the gram, and
+again by all that stands behind it. Pairs that meet are verified by their edit distance.
 
-Two kinds of words take an exact way beside the lists: those of which one edit may affect all grams, and
-those in a list of over ``LONGEST_LIST`` words. They meet on the word without one of its characters, as
-any two words one edit apart do, and are verified alike. No list is paired beyond that length, and no
-word or pair is dropped.
+A list of over ``LONGEST_LIST`` words is not paired. Its words take an exact way beside the lists: they
+meet on the word without one of its characters, as any two words one edit apart do, and are verified
+alike. So no list makes more than ``LONGEST_LIST`` pairs per entry, and no word or pair is dropped.
 
 The dictionary holds grams that occur more than ``total / CAPACITY`` times, at most ``CAPACITY`` for each
 length, so its size is bounded whatever the vocabulary; it changes how long lists are, never which pairs
@@ -46,9 +44,10 @@ LEAST_COUNT = 2
 DELETE_ONE_IN = 31
 RATIO = 10
 LEAST_CHARS = 2
-MOST_CHARS = 6
-CAPACITY = 20_000
-LONGEST_LIST = 256
+MOST_CHARS = 5
+CAPACITY = 50_000
+LONGEST_LIST = 512
+SHORT = 64
 BEGIN, END = "<", ">"
 PRIME, BASE = (1 << 61) - 1, 0x9E3779B97F4A7  # of the hashes by which strings meet before they are verified
 
@@ -102,42 +101,27 @@ def gram_dictionary(words: DataFrame, capacity: int = CAPACITY) -> dict[str, int
     return {r["gram"]: r["n"] for r in counts.collect()}
 
 
-def inner_ends(dictionary: dict[str, int]) -> set[str]:
-    """Proper suffixes of grams that grow: what a gram reaching over an edit can hold behind it."""
-    return {g[i:] for g in dictionary if len(g) < MOST_CHARS for i in range(1, len(g))}
-
-
 def decompose(word: str, dictionary: dict[str, int]) -> list[tuple[int, int]]:
-    """Start and end of the variable-length grams of a padded word; none lies inside an earlier one."""
-    found, reach = [], 0
+    """Start and end of the variable-length gram at each position of a padded word."""
+    found = []
     for p in range(len(word) - LEAST_CHARS + 1):
         q = p + LEAST_CHARS
         while q < len(word) and q - p < MOST_CHARS and word[p:q] in dictionary:
             q += 1
-        if q > reach:
-            found.append((p, q))
-            reach = q
+        found.append((p, q))
     return found
 
 
-def most_affected(word: str, grams: list[tuple[int, int]], ends: set[str]) -> int:
-    """Bound on the grams that one edit anywhere in a padded word can affect.
+def most_affected(grams: list[tuple[int, int]]) -> int:
+    """Bound on the grams that one edit can affect: the most that hold one place.
 
-    At a position it affects the grams that hold it, and of those behind it the ones that a longer
-    gram may swallow: what such a gram holds after the edit, but for its last character, must be
-    the end of a gram that grows. An insertion affects no more than a deletion beside it.
+    A gram that ends before the edit, or starts behind it, is the same in the edited word; an insertion
+    affects the grams that hold both places beside it.
     """
-    worst = near = 0
-    for i in range(len(word)):
-        while near < len(grams) and grams[near][1] <= i:
-            near += 1
-        hit = 0
-        for p, q in itertools.islice(grams, near, None):
-            if q - i > MOST_CHARS and p > i:
-                break
-            hit += p <= i or word[i + 1 : q - 1] in ends
-        worst = max(worst, hit)
-    return worst
+    # grams start at 0, 1, 2, ...; those that hold place i start within MOST_CHARS before it
+    return max(
+        sum(q > i for _, q in grams[max(0, i - MOST_CHARS + 1) : i + 1]) for i in range(len(grams) + 1)
+    )
 
 
 def prefix_hashes(word: str) -> list[int]:
@@ -145,22 +129,17 @@ def prefix_hashes(word: str) -> list[int]:
     return list(itertools.accumulate(word, lambda h, c: (h * BASE + ord(c)) % PRIME, initial=1))
 
 
-def entries(word: str, dictionary: dict[str, int], ends: set[str]) -> tuple[list[int], list[int], int]:
-    """List keys of a word, its marks for counting shared grams, and how many a near word shares.
+def entries(word: str, dictionary: dict[str, int]) -> list[int]:
+    """The lists of a word: two for each of its rarest grams, one more than an edit can affect.
 
-    Each gram has two marks, hashes of all that precedes its end and of all that follows its start. The
-    keys are the marks of the rarest grams, of all grams if one edit may affect them all.
+    A list is named by a hash of all that precedes the end of the gram, or of all from its start on.
     """
     padded = BEGIN + word + END
     grams = decompose(padded, dictionary)
-    affected = most_affected(padded, grams, ends)
     ahead, behind = prefix_hashes(padded), prefix_hashes(padded[::-1])[::-1]
-
-    def marks(some: list[tuple[int, int]]) -> list[int]:
-        return [m for p, q in some for m in (2 * ahead[q], 2 * behind[p] + 1)]
-
     rare = sorted(grams, key=lambda g: (dictionary.get(padded[g[0] : g[1]], 0), padded[g[0] : g[1]], g[0]))
-    return marks(rare[: affected + 1]), marks(grams), len(grams) - affected
+    kept = rare[: most_affected(grams) + 1]
+    return list(dict.fromkeys(m for p, q in kept for m in (2 * ahead[q], 2 * behind[p] + 1)))
 
 
 def without_one(word: str) -> list[int]:
@@ -174,66 +153,62 @@ def without_one(word: str) -> list[int]:
     return [whole, *found]
 
 
-def _per_word(lists, kinds: dict):
-    """A function of a word as an Arrow map from ``(id, word)`` to ``id`` and its results."""
+def _listed(words: DataFrame, lists) -> DataFrame:
+    """``(id, key, size, short)``: a row for each hash that ``lists`` makes of a word.
+
+    ``short`` is the word itself unless it is long, so that a long word is not copied into each row.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in pieces(batches):
-            found = [lists(w) for w in batch.column(1).to_pylist()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds.values())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *kinds])
+        for batch in pieces(batches, 4096):
+            keys = pa.array([lists(w) for w in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=["id", "word", "keys"])
+
+    size = F.length("word")
+    return (
+        words.select("id", "word")
+        .mapInArrow(run, "id bigint, word string, keys array<bigint>")
+        .select("id", size.alias("size"), F.when(size <= SHORT, F.col("word")).alias("short"), "keys")
+    )
+
 
-    return run
+def _meet(rows: DataFrame) -> DataFrame:
+    """``(a, b, sure)`` of rows of one key; pairs of short words are verified as they meet."""
+    a, b = rows.alias("a"), rows.alias("b")
+    both = F.col("a.short").isNotNull() & F.col("b.short").isNotNull()
+    verified = F.when(both, F.levenshtein("a.short", "b.short", 1) == 1).otherwise(True)
+    near = (F.abs(F.col("a.size") - F.col("b.size")) <= 1) & verified
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & near).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b"), both.alias("sure")
+    )
 
 
 def near_pairs(words: DataFrame, capacity: int = CAPACITY, longest: int = LONGEST_LIST) -> DataFrame:
     """``(a, b)``: the ids of all pairs of distinct words one edit apart, each pair once, ``a < b``.
 
-    ``words`` has one row per ``id`` and ``word`` and gives the same rows each time. Lists and pairs
-    carry ids and hashes only, so a long word is not copied into each of them.
+    ``words`` has one row per ``id`` and ``word`` and gives the same rows each time.
     """
-    import pyarrow as pa
-
     dictionary = gram_dictionary(words, capacity)
-    sent = words.sparkSession.sparkContext.broadcast((dictionary, inner_ends(dictionary)))
-    longs = pa.list_(pa.int64())
+    sent = words.sparkSession.sparkContext.broadcast(dictionary)
+    index = stable(_listed(words, lambda w: entries(w, sent.value)))
+    lists = index.select("id", "size", "short", F.explode("keys").alias("key"))
+    sizes = stable(lists.groupBy("key").count().filter("count > 1"))
+    met = _meet(lists.join(sizes.filter(F.col("count") <= longest).select("key"), "key"))
+    crowded = sizes.filter(F.col("count") > longest).select("key")
+    aside = index.select("id", F.explode("keys").alias("key")).join(crowded, "key").select("id").distinct()
+    rest = _listed(words.join(aside, "id"), without_one)
+    beside = _meet(rest.select("id", "size", "short", F.explode("keys").alias("key")))
+    pairs = stable(met.unionAll(beside).distinct())
     text = words.select("id", "word")
-    index = stable(
-        text.mapInArrow(
-            _per_word(lambda w: entries(w, *sent.value), {"keys": longs, "marks": longs, "shared": pa.int32()}),
-            "id bigint, keys array<bigint>, marks array<bigint>, shared int",
-        )
-    )
-    lists = index.select("id", "shared", "marks", F.explode(F.array_distinct("keys")).alias("key"))
-    sizes = stable(lists.groupBy("key").count())
-    merged = lists.join(sizes.filter(F.col("count").between(2, longest)).select("key"), "key")
-    a, b = merged.alias("a"), merged.alias("b")
-    enough = F.size(F.array_intersect("a.marks", "b.marks")) >= F.greatest("a.shared", "b.shared")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & enough)
-    crowded = lists.join(sizes.filter(F.col("count") > longest).select("key"), "key", "left_semi")
-    aside = crowded.select("id").unionAll(index.filter("shared <= 0").select("id")).distinct()
-    shorter = (
-        text.join(aside, "id")
-        .select("id", "word")
-        .mapInArrow(
-            _per_word(lambda w: (without_one(w),), {"rests": longs}), "id bigint, rests array<bigint>"
-        )
-        .select("id", F.explode("rests").alias("rest"))
-    )
-    left, right = shorter.alias("a"), shorter.alias("b")
-    beside = left.join(right, (F.col("a.rest") == F.col("b.rest")) & (F.col("a.id") < F.col("b.id")))
-    ids = [F.col("a.id").alias("a"), F.col("b.id").alias("b")]
-    return (
-        met.select(*ids)
-        .unionAll(beside.select(*ids))
-        .distinct()
+    long = (
+        pairs.filter("NOT sure")
         .join(text.select(F.col("id").alias("a"), F.col("word").alias("word_a")), "a")
         .join(text.select(F.col("id").alias("b"), F.col("word").alias("word_b")), "b")
         .filter(F.levenshtein("word_a", "word_b", 1) == 1)
-        .select("a", "b")
     )
+    return pairs.filter("sure").select("a", "b").unionAll(long.select("a", "b"))
 
 
 def variants(

@@ -83,20 +83,28 @@ def test_all_pairs_are_found_whatever_the_dictionary(spark, capacity, longest):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_an_edit_affects_no_more_grams_than_the_bound(seed):
+def test_near_words_meet_in_a_list(seed):
     draw = random.Random(seed)
     words = list(crowd(seed, 300, "ab" if seed else "abcd"))
+    longest = range(2, spelling.MOST_CHARS + 1)
     counts = Counter(
-        p[i : i + q] for w in words for p in [f"<{w}>"] for q in range(2, 7) for i in range(len(p) - q + 1)
+        p[i : i + q] for w in words for p in [f"<{w}>"] for q in longest for i in range(len(p) - q + 1)
     )
-    dictionary = {g: n for g, n in counts.items() if n > draw.choice([5, 20, 60])}
-    ends = spelling.inner_ends(dictionary)
+    bar = draw.choice([5, 20, 60])
+    dictionary = {g: n for g, n in counts.items() if n > bar}
+
+    def grams(word):
+        padded = f"<{word}>"
+        found = spelling.decompose(padded, dictionary)
+        return Counter(padded[p:q] for p, q in found), spelling.most_affected(found)
+
     for word in words:
-        _, marks, shared = spelling.entries(word, dictionary, ends)
         i, c = draw.randrange(len(word) + 1), draw.choice("abcd")
         for other in (word[:i] + c + word[i:], word[:i] + word[i + 1 :], word[:i] + c + word[i + 1 :]):
-            _, theirs, others = spelling.entries(other, dictionary, ends)
-            assert len(set(marks) & set(theirs)) >= max(shared, others)
+            (own, affected), (theirs, others) = grams(word), grams(other)
+            common = sum((own & theirs).values())
+            assert common >= max(sum(own.values()) - affected, sum(theirs.values()) - others)
+            assert set(spelling.entries(word, dictionary)) & set(spelling.entries(other, dictionary))
 
 
 def test_texts_with_awkward_rows(spark, tmp_path):
