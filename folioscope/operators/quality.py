@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.vectors import has_dims
@@ -41,6 +41,57 @@ def page_audit(records: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
+def cursor_ranges(
+    pages: DataFrame, cursor: str, n: str, total: str, by: list[str] | None = None
+) -> DataFrame:
+    """``(by, kind, start, stop, times)``: where landed pages leave gaps or meet, ``stop`` excluded.
+
+    A page covers ``n`` positions from its ``cursor`` in a list of ``total`` positions. Ranges that no page
+    covers are ``missing``, those of several are ``doubled``, and what lies behind the announced end is
+    ``beyond``; neighbouring ranges of one kind and number of pages are one. A page landed twice
+    therefore hides no lost one. ``by`` tells lists apart; the pages of one list meet in one window.
+    """
+    by = by or []
+    listed = pages.select(*by, F.col(cursor).alias("a"), F.col(n).alias("n"), F.col(total).alias("total"))
+    announced = F.max("total").over(Window.partitionBy(*by))
+    listed = listed.withColumn("total", announced).withColumn("b", F.col("a") + F.col("n"))
+    # each page opens a position and closes one; the ends of the list are marked without weight
+    steps = F.array(*[
+        F.struct(at.cast("bigint").alias("at"), F.lit(weight).alias("weight"), F.lit(mark).alias("mark"))
+        for at, weight, mark in (
+            (F.col("a"), 1, False),
+            (F.col("b"), -1, False),
+            (F.lit(0), 0, True),
+            (F.col("total"), 0, True),
+        )
+    ])
+    changes = (
+        listed.select(*by, "total", F.explode(steps).alias("s"))
+        .groupBy(*by, "total", "s.at")
+        .agg(F.sum("s.weight").alias("weight"), F.max("s.mark").alias("mark"))
+        .where((F.col("weight") != 0) | F.col("mark"))
+    )
+    order = Window.partitionBy(*by).orderBy("at")
+    ranges = changes.select(
+        *by,
+        "total",
+        F.col("at").alias("start"),
+        F.lead("at").over(order).alias("stop"),
+        F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("times"),
+    )
+    inside = F.col("start") < F.col("total")
+    kind = (
+        F.when(~inside, F.when(F.col("times") > 0, "beyond"))
+        .when(F.col("times") == 0, "missing")
+        .when(F.col("times") > 1, "doubled")
+    )
+    return (
+        ranges.withColumn("kind", kind)
+        .where(F.col("kind").isNotNull() & F.col("stop").isNotNull())
+        .select(*by, "kind", "start", "stop", F.col("times").cast("bigint").alias("times"))
+    )
+
+
 def list_audit(pages: DataFrame, links: DataFrame, landed: DataFrame, link: str = "link"):
     """One row on a pull by list pages: what ``meta`` announces against pages, links and records.
 

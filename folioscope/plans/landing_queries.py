@@ -5,13 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from folioscope import schema as S
 from folioscope.operators import ordinal, quality
 from folioscope.plans import ingest
 from folioscope.plans.registry import query, table
-from folioscope.session import scratch_path
-from folioscope.sources import landed, sinks
+from folioscope.session import scratch_path, stable
+from folioscope.sources import landed, marks, sinks
 from folioscope.streaming import ingest as stream
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -156,6 +158,46 @@ def page_audit(spark, sf):
     return audit.withColumn("n_pages", quality.page_count(F.col("list_size"), F.lit(PAGE)))
 
 
+@query(
+    "cursor_audit",
+    f"""
+    WITH positions AS (
+      SELECT event_id % 3 AS list, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) - 1 AS pos
+      FROM events),
+    covered AS (
+      SELECT list, pos, CASE WHEN (pos // {PAGE}) % 7 = 3 THEN 0 ELSE 1 END
+        + CASE WHEN (pos // {PAGE}) % 5 = 2 THEN 1 ELSE 0 END AS times
+      FROM positions),
+    runs AS (
+      SELECT *, pos - row_number() OVER (PARTITION BY list, times ORDER BY pos) AS run FROM covered)
+    SELECT list, CASE WHEN times = 0 THEN 'missing' ELSE 'doubled' END AS kind, min(pos) AS start,
+      max(pos) + 1 AS stop, times::BIGINT AS times
+    FROM runs WHERE times <> 1 GROUP BY list, times, run
+    """,
+)
+def cursor_audit(spark, sf):
+    """Three lists; every seventh page of each is lost, and of every five one was landed twice."""
+    order = Window.partitionBy("list").orderBy("event_id")
+    positions = (
+        table(spark, sf, "events")
+        .select((F.col("event_id") % 3).alias("list"), "event_id")
+        .withColumn("at", F.row_number().over(order) - 1)
+    )
+    page = F.floor(F.col("at") / PAGE)
+    whole = positions.groupBy("list", page.alias("page")).agg(F.count("*").alias("n"))
+    totals = positions.groupBy("list").agg(F.count("*").alias("total"))
+    kept = F.when(F.col("page") % 7 == 3, 0).otherwise(1) + F.when(F.col("page") % 5 == 2, 1).otherwise(0)
+    landed_pages = (
+        whole.join(totals, "list")
+        .withColumn("cursor", F.col("page") * PAGE)
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), kept)))
+    )
+    path = scratch_path(spark, "pages")
+    landed_pages.select("list", "cursor", "n", "total").write.json(path)
+    back = spark.read.schema("list bigint, cursor bigint, n bigint, total bigint").json(path)
+    return quality.cursor_ranges(back, "cursor", "n", "total", ["list"])
+
+
 def list_pages(spark, sf):
     """Events written as list pages of at most ``PAGE`` links each, and read back."""
     total = table(spark, sf, "events").agg(F.count("*")).scalar()
@@ -297,6 +339,85 @@ def incremental_updates(spark, sf):
     )
 
 
+@query(
+    "equal_stamps",
+    """
+    SELECT doc_id::VARCHAR AS source_id, source,
+      CASE WHEN doc_id % 3 = 0 THEN 'corrected ' ELSE 'first ' END || lang AS title,
+      CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS n_versions
+    FROM documents
+    """,
+)
+def equal_stamps(spark, sf):
+    """Some records are corrected without a new date; both pulls are then repeated."""
+    path = scratch_path(spark, "versions")
+
+    def pull(name, day, rows):
+        return rows.select(
+            F.col("doc_id").cast("string").alias("source_id"),
+            F.concat(F.lit(f"{name} "), "lang").alias("title"),
+            F.lit(dt.datetime(2020, 1, 1)).cast("timestamp").alias("modified_date"),
+            F.lit(dt.datetime(2020, 6, day)).cast("timestamp").alias("stored_date"),
+            "source",
+        )
+
+    docs = table(spark, sf, "documents")
+    first, second = pull("first", 1, docs), pull("corrected", 2, docs.where("doc_id % 3 = 0"))
+    for batch in (first, second, pull("first", 3, docs), pull("corrected", 4, docs.where("doc_id % 6 = 0"))):
+        sinks.keyed_append(batch, path)
+    held = spark.read.schema(first.schema).parquet(path)
+    versions = held.groupBy("source", "source_id").agg(F.count("*").alias("n_versions"))
+    return (
+        sinks.newest(held)
+        .join(versions, ["source", "source_id"])
+        .select("source_id", "source", "title", "n_versions")
+    )
+
+
+@query(
+    "resumed_pulls",
+    """
+    WITH e AS (SELECT event_type AS source, event_id, ts FROM events),
+    marks AS (SELECT source, max(ts) AS mark FROM e WHERE ts < '2024-01-12' GROUP BY source),
+    runs AS (
+      SELECT 1 AS run, source, event_id, ts FROM e WHERE ts < '2024-01-12'
+      UNION ALL
+      SELECT 2, source, event_id, ts FROM e LEFT JOIN marks USING (source)
+      WHERE ts < '2024-01-20' AND (mark IS NULL OR ts >= mark)
+      UNION ALL
+      SELECT 3, source, event_id, ts FROM e LEFT JOIN marks USING (source) WHERE mark IS NULL OR ts >= mark)
+    SELECT run, source, count(*) AS pulled, (SELECT count(*) FROM e WHERE e.source = runs.source) AS stored,
+      (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') FROM e WHERE e.source = runs.source) AS mark
+    FROM runs GROUP BY run, source
+    """,
+)
+def resumed_pulls(spark, sf):
+    """The second run fails after its append; the third starts from the mark of the first."""
+    path = scratch_path(spark, "events")
+    events = table(spark, sf, "events").select(
+        F.col("event_type").alias("source"),
+        F.col("event_id").cast("string").alias("source_id"),
+        F.col("ts").cast("timestamp").alias("modified_date"),
+    )
+    until = [events.where(F.col("modified_date") < F.lit(day)) for day in ("2024-01-12", "2024-01-20")]
+    first = marks.pull(until[0], path)
+    second = stable(marks.changed_since(until[1], marks.high_water(events, path)))
+    sinks.keyed_append(second, path)  # and no mark
+    third = marks.pull(events, path)
+    runs = [
+        rows.groupBy("source").agg(F.count("*").alias("pulled")).withColumn("run", F.lit(run))
+        for run, rows in enumerate((first, second, third), 1)
+    ]
+    stored = spark.read.schema(events.schema).parquet(path).groupBy("source").agg(
+        F.count("*").alias("stored")
+    )
+    reached = marks.high_water(events, path).select(
+        "source", F.date_format("mark", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mark")
+    )
+    pulled = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return pulled.join(stored, "source").join(reached, "source")
+
+
 @query(
     "sink_table",
     """
@@ -367,6 +488,42 @@ def ingest_rejects(spark, sf):
     )
 
 
+REJECTED_LINES = """
+    SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 3 = 1 THEN 'document' ELSE 'reject' END AS kind,
+      CASE doc_id % 3 WHEN 0 THEN 'unreadable line' WHEN 2 THEN 'no readable publish date' ELSE '' END
+        AS reason
+    FROM documents
+    """
+
+
+@query("stream_rejects", REJECTED_LINES)
+def stream_rejects(spark, sf):
+    """The same broken lines as a stream of two pulls, the second repeating the first."""
+    landing, target, progress = (scratch_path(spark, n) for n in ("landing", "table", "progress"))
+    docs = table(spark, sf, "documents")
+    start = F.concat(F.lit('{"id":"'), "doc_id", F.lit('",'))
+    dated = F.lit('"versions":[{"created":"Mon, 2 Apr 2007 19:18:42 GMT"}]}')
+    kind = F.col("doc_id") % 3
+    rest = F.when(kind == 0, "").when(kind == 1, dated).otherwise('"title":"t"}')
+    lines = docs.select(F.concat(start, rest).alias("value"), "doc_id")
+    for pull in (lines.where("doc_id % 2 = 0"), lines):
+        pull.select("value").write.mode("append").text(landing)
+        feed = stream.landed_stream(spark, landing, S.ARXIV_RECORD)
+        stream.ingest(feed, ingest.normalise_arxiv, target, progress).awaitTermination()
+    good = spark.read.schema(S.DOCUMENT).parquet(target)
+    rejects = spark.read.parquet(f"{target}/{stream.REJECTS}")
+    line = F.regexp_extract(F.coalesce(F.col(landed.CORRUPT), F.lit("")), '"id":"([^"]*)"', 1)
+    return good.select(
+        F.col("source_id").alias("id"), F.lit("document").alias("kind"), F.lit("").alias("reason")
+    ).unionByName(
+        rejects.select(
+            F.coalesce("source_id", line).alias("id"),
+            F.lit("reject").alias("kind"),
+            F.col("reject_reason").alias("reason"),
+        ).distinct()
+    )
+
+
 @query(
     "bulk_append",
     "SELECT o_orderstatus, 2 * count(*) AS n FROM orders GROUP BY o_orderstatus",

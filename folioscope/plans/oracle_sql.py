@@ -1,7 +1,7 @@
 """SQL fragments shared by the reference queries; written apart from the Spark code on purpose."""
 
 from folioscope.functions.stopwords import ENGLISH_STOP_WORDS
-from folioscope.operators.lemma import NOUN_ENDINGS
+from folioscope.operators.lemma import IRREGULAR_NOUNS, NOUN_ENDINGS
 
 
 def quoted(text: str) -> str:
@@ -44,6 +44,10 @@ def lemmas(terms: str) -> str:
             f"SELECT term, left(term, length(term) - {len(ending)}) || '{new}', {pos} "
             f"FROM {terms} WHERE suffix(term, '{ending}')"
         )
+    listed = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in IRREGULAR_NOUNS)
+    forms.append(
+        f"SELECT term, base, -100000 FROM {terms} JOIN (VALUES {listed}) v(plural, base) ON term = plural"
+    )
     union = "\n  UNION ALL ".join(forms)
     return f"""forms AS ({union}),
 lemmas AS (

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.operators import ordinal, search
 from folioscope.plans.registry import query, table
+from folioscope.session import scratch_path
+from folioscope.sources import pages
 
 PHRASE = "of the"
 
@@ -71,6 +76,40 @@ def keyset_page(spark, sf):
     return numbered.select((F.col("page") + 1).alias("page"), "o_orderkey", "o_custkey", "day")
 
 
+@query(
+    "page_walk",
+    """
+    WITH sized AS (SELECT count(*) // 5 + 1 AS size, count(*) // 16 + 1 AS per_file FROM orders),
+    placed AS (
+      SELECT o_orderkey, row_number() OVER (ORDER BY day NULLS LAST, o_orderkey) - 1 AS pos
+      FROM (SELECT o_orderkey,
+          CASE WHEN o_orderkey % 4 <> 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)),
+    pages AS (SELECT *, pos // size AS page, pos // per_file AS file FROM placed, sized)
+    SELECT page, o_orderkey, pos + 1 AS ordinal,
+      (SELECT count(DISTINCT file) FROM pages q WHERE q.page = pages.page) AS n_files
+    FROM pages
+    """,
+)
+def page_walk(spark, sf):
+    """The whole table page by page over its stored boundaries; each page opens its files only."""
+    day = F.when(F.col("o_orderkey") % 4 != 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    orders = table(spark, sf, "orders").select("o_orderkey", day.alias("day"))
+    n, keys, path = orders.count(), ["day", "o_orderkey"], scratch_path(spark, "pages")
+    pages.write_pages(orders, keys, path, n // 16 + 1)
+    size, after, walked = n // 5 + 1, None, []
+    while True:
+        page = pages.read_page(spark, path, keys, size, after)
+        last = page.agg(F.max_by(F.struct(*keys), "ordinal")).first()[0]
+        if last is None:
+            break
+        files = page.agg(F.count_distinct("part")).scalar()
+        walked.append(
+            page.select(F.lit(len(walked)).cast("bigint").alias("page"), "o_orderkey", "ordinal", files.alias("n_files"))
+        )
+        after = tuple(last)
+    return reduce(DataFrame.unionByName, walked)
+
+
 @query(
     "match_phrase",
     r"""

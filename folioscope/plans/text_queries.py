@@ -174,7 +174,7 @@ def tfidf_weights(spark, sf):
     "tfidf_two_sources",
     f"""
     WITH pair AS (SELECT doc_id * 2 AS doc_id, text FROM documents
-      UNION ALL SELECT doc_id * 2 + 1, lang || ' ' || source || ' ' || left(text, 200) FROM documents),
+      UNION ALL SELECT doc_id * 2 + 1, lang || ' ' || source || ' ' || text FROM documents),
     {O.weighted("true", "true").replace("FROM documents", "FROM pair")}
     SELECT doc_id // 2 AS source_id, CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS source,
       count(*) AS n_terms, round(sum(weight), 6) AS total
@@ -184,9 +184,9 @@ def tfidf_weights(spark, sf):
 def tfidf_two_sources(spark, sf):
     """Two sources that share all their ids; source and id together are the key."""
     docs = table(spark, sf, "documents")
-    excerpt = F.concat_ws(" ", "lang", "source", F.substring("text", 1, 200))
+    prefixed = F.concat_ws(" ", "lang", "source", "text")
     both = docs.select(F.lit("a").alias("source"), "doc_id", "text").unionByName(
-        docs.select(F.lit("b").alias("source"), "doc_id", excerpt.alias("text"))
+        docs.select(F.lit("b").alias("source"), "doc_id", prefixed.alias("text"))
     )
     keyed = both.select(F.struct("source", F.col("doc_id").alias("source_id")).alias("key"), "text")
     embedded = embed_all(keyed, "key", "text", partitions=cores(spark))
@@ -239,8 +239,11 @@ def model_roundtrip(spark, sf):
     "test_set_roundtrip",
     f"""
     WITH {O.weighted(O.TRAIN, O.TEST)}
-    SELECT doc_id, source, coalesce(n, 0) AS n_terms FROM documents
-    LEFT JOIN (SELECT doc_id, count(*) AS n FROM weights GROUP BY doc_id) USING (doc_id)
+    SELECT doc_id, source, coalesce(n, 0) AS n_terms, round(coalesce(total, 0), 6) AS total,
+      round(coalesce(highest, 0), 6) AS highest
+    FROM documents LEFT JOIN (
+      SELECT doc_id, count(*) AS n, sum(weight) AS total, max(weight) AS highest
+      FROM weights GROUP BY doc_id) USING (doc_id)
     WHERE {O.TEST}
     """,
 )
@@ -250,7 +253,17 @@ def test_set_roundtrip(spark, sf):
     path = scratch_path(spark, "testset")
     sinks.save_test_set(embedded.documents, embedded.vectors, path)
     docs, vectors = sinks.load_test_set(spark, path)
-    sizes = vectors.select("doc_id", F.size("vector").cast("bigint").alias("n"))
-    return docs.join(sizes, "doc_id", "left").select(
-        "doc_id", "source", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_terms")
+    weights = F.col("vector.weight")
+    sums = vectors.select(
+        "doc_id",
+        F.size("vector").cast("bigint").alias("n"),
+        F.aggregate(weights, F.lit(0.0), lambda t, x: t + x).alias("sum"),
+        F.array_max(weights).alias("max"),
+    )
+    return docs.join(sums, "doc_id", "left").select(
+        "doc_id",
+        "source",
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("n_terms"),
+        F.round(F.coalesce("sum", F.lit(0.0)), 6).alias("total"),
+        F.round(F.coalesce("max", F.lit(0.0)), 6).alias("highest"),
     )

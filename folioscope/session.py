@@ -75,8 +75,8 @@ def stable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Write a narrow table once, and mark it for broadcast when its counted rows and bytes allow it.
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the counted rows and bytes of a table allow a broadcast.
 
     Numbers count eight bytes, texts their length, nested values that of their JSON form.
     """
@@ -89,8 +89,19 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
             return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
         return F.lit(8)
 
-    written = stable(df)
     widths = reduce(Column.__add__, map(width, df.schema), F.lit(0))
     size = F.coalesce(F.sum(widths.cast("long")), F.lit(0))
-    rows, held = written.agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(written) if rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES else written
+    rows, held = df.agg(F.count(F.lit(1)), size).first()
+    return rows <= BROADCAST_ROWS and held <= BROADCAST_BYTES
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` written once, and whether it may be broadcast."""
+    written = stable(df)
+    return written, fits_broadcast(written)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Write a narrow table once, and mark it for broadcast if ``measured`` allows it."""
+    written, small = measured(df)
+    return F.broadcast(written) if small else written

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from folioscope.plans.ingest import ingest as judge
 from folioscope.sources.landed import CORRUPT
 from folioscope.sources.sinks import DOCUMENT_KEY, keyed_append
 
+REJECTS = "_rejects"
+
 
 def landed_stream(
     spark: SparkSession, path: str, ddl: str, max_files: int | None = None
@@ -37,22 +40,26 @@ def ingest(
     keys: tuple[str, ...] = DOCUMENT_KEY,
     stamp: str = "modified_date",
     partition: str | None = "source",
-    rejects: str | None = None,
+    rejects: str | None = REJECTS,
 ) -> StreamingQuery:
     """Append what has landed since the last run to ``table``, then stop.
 
-    With ``rejects`` the batch is judged as in ``plans.ingest.ingest``, and what is unfit is written
-    there, one folder per batch, which a repeated batch overwrites. The keyed append makes a repeated batch a no-op and removes repeats between pulls however far
-    apart they are. De-duplication within a watermark is left out on purpose: it would drop
-    records older than the watermark, and pulls do bring old records.
+    Each batch is judged as in ``plans.ingest.ingest``, and what is unfit is written to ``rejects``, one
+    folder per batch, which a repeated batch overwrites; by default that is a hidden folder in the
+    table. Without ``rejects``, or with a normaliser that cannot ``keep`` where a row came from, all
+    rows are appended. The keyed append makes a repeated batch a no-op and removes repeats between
+    pulls however far apart they are. De-duplication within a watermark is left out on purpose: it
+    would drop records older than the watermark, and pulls do bring old records.
     """
+    judged = rejects is not None and "keep" in signature(normalise).parameters
+    unfit_path = f"{table}/{REJECTS}" if rejects == REJECTS else rejects
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if rejects is None:
-            good = normalise(batch)
-        else:
+        if judged:
             good, unfit = judge(batch, normalise)
-            unfit.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            unfit.write.mode("overwrite").parquet(f"{unfit_path}/batch={batch_id}")
+        else:
+            good = normalise(batch)
         keyed_append(good, table, keys, stamp, partition)
 
     return (

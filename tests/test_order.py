@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.operators import filters, ordinal, search
+from folioscope.sources import pages
 
 
 def days(spark, rows):
@@ -121,3 +122,31 @@ def test_query_of_pages_has_no_global_limit(spark, monkeypatch):
     monkeypatch.setattr(ordinal, "page_after", refuse)
     rows = QUERIES["keyset_page"](spark, "/root/testdata/sf0.001").collect()
     assert {r.page for r in rows} == {1, 2, 3, 4}
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 40, 199, 200, 500])
+def test_highest_rows_without_one_task(spark, n):
+    rows = [(f"t{i:03}", 1 + (i * 37) % 23 if i % 2 else 1) for i in range(200)]
+    frame = spark.createDataFrame(rows, "term string, total bigint").repartition(5)
+    got = ordinal.highest(frame, "total", "term", n)
+    assert "_step" not in got.columns
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))[:n]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("per_file, size", [(20, 45), (50, 7), (500, 60)])
+def test_pages_open_only_their_files(spark, tmp_path, per_file, size):
+    rows = days(spark, ROWS).withColumn("day", F.expr("CASE WHEN id % 3 > 0 THEN day END"))
+    keys, path = ["day", "id"], str(tmp_path / "t")
+    pages.write_pages(rows, keys, path, per_file)
+    want = [r["id"] for r in rows.orderBy(*ordinal.order_columns(keys)).collect()]
+    seen, last = [], None
+    while page := pages.read_page(spark, path, keys, size, last).orderBy("ordinal").collect():
+        at = len(seen)
+        seen += [r["id"] for r in page]
+        files = {r["part"] for r in page}
+        assert files == set(range(at // per_file, (len(seen) - 1) // per_file + 1))
+        last = (page[-1]["day"], page[-1]["id"])
+    assert seen == want
+    # a key that no row has begins behind the rows before it
+    assert pages.read_page(spark, path, keys, 3, (dt.date(1999, 1, 1), 0)).agg(F.min("ordinal")).first()[0] == 1

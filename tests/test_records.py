@@ -173,3 +173,22 @@ def test_oai_pages(spark, tmp_path):
     records = landed.read_oai_records(spark, str(tmp_path))
     audit = page_audit(records, landed.read_oai_tokens(spark, str(tmp_path))).first()
     assert audit["complete"] and audit["n_records"] == 4 and audit["last_cursor"] == 2
+
+
+def test_cursor_ranges(spark):
+    from folioscope.operators import quality
+
+    rows = [("a", 0, 3, 20), ("a", 3, 3, 20), ("a", 3, 3, 20), ("a", 10, 5, 20), ("a", 12, 5, 20), ("a", 17, 5, 20)]
+    rows += [("b", 0, 4, 4), ("c", 2, 1, 4)]
+    pages = spark.createDataFrame(rows, "list string, cursor bigint, n bigint, total bigint")
+    got = sorted(map(tuple, quality.cursor_ranges(pages, "cursor", "n", "total", ["list"]).collect()))
+    assert got == [
+        ("a", "beyond", 20, 22, 1),
+        ("a", "doubled", 3, 6, 2),
+        ("a", "doubled", 12, 15, 2),
+        ("a", "missing", 6, 10, 0),
+        ("c", "missing", 0, 2, 0),
+        ("c", "missing", 3, 4, 0),
+    ]
+    one = pages.where("list = 'c'").drop("list")
+    assert quality.cursor_ranges(one, "cursor", "n", "total").count() == 2

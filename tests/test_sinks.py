@@ -1,9 +1,11 @@
 import datetime as dt
 import json
 
+import pytest
+
 from folioscope import schema as S
 from folioscope.plans import ingest
-from folioscope.sources import sinks
+from folioscope.sources import marks, sinks
 from folioscope.streaming import ingest as stream
 from tests.test_records import ARXIV, land
 
@@ -134,3 +136,89 @@ def test_xml_pages_stream_into_the_table(spark, tmp_path):
         ("arXiv", "0704.0010", "One & two"),
         ("arXiv", "0704.0020", "Three"),
     ]
+
+
+def test_a_change_under_an_equal_stamp_is_a_version(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    first = batch(spark, ("a", "1", 1, "old"), ("a", "2", 1, "same"))
+    for rows in (first, batch(spark, ("a", "1", 1, "corrected")), first):
+        sinks.keyed_append(rows, path)
+    assert held(spark, path) == [("a", "1", "corrected"), ("a", "1", "old"), ("a", "2", "same")]
+
+
+def test_versions_stored_last_win_among_equal_stamps(spark):
+    day = dt.datetime(2020, 1, 1)
+    rows = [("a", "1", day, dt.datetime(2020, 2, d), t) for d, t in ((1, "zzz"), (2, "aaa"))]
+    frame = spark.createDataFrame(
+        rows, "source string, source_id string, modified_date timestamp, stored_date timestamp, title string"
+    )
+    assert [r["title"] for r in sinks.newest(frame).collect()] == ["aaa"]
+
+
+def test_a_batch_that_was_not_confirmed_is_looked_up_in_the_table(spark, tmp_path, monkeypatch):
+    rows = batch(spark, ("a", "1", 1, "x"), ("b", "2", 1, "y"))
+
+    def fail(*args):
+        raise OSError("lost")
+
+    for name, step in (("before", "append"), ("after", "confirm")):
+        path = str(tmp_path / name)
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks if step == "append" else sinks.Ledger, step, fail)
+            with pytest.raises(OSError):
+                sinks.keyed_append(rows, path)
+        for _ in range(2):
+            sinks.keyed_append(rows, path)
+        assert held(spark, path) == [("a", "1", "x"), ("b", "2", "y")]
+
+
+def test_a_table_without_ledger_gets_one(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    sinks.append(batch(spark, ("a", "1", 1, "x")), path)
+    sinks.keyed_append(batch(spark, ("a", "1", 1, "x"), ("a", "2", 1, "y")), path)
+    assert held(spark, path) == [("a", "1", "x"), ("a", "2", "y")]
+
+
+def test_a_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    many = batch(spark, *[("a", str(i), 1, "x") for i in range(200)])
+    sinks.keyed_append(many, path)
+    ledger = sinks.Ledger(path, many.schema, (*sinks.DOCUMENT_KEY, "modified_date"), sinks.LEDGER_BUCKETS)
+    rows = spark.read.schema(ledger.schema).parquet(f"{path}/{sinks.LEDGER}")
+    asked = ledger.tagged(batch(spark, ("a", "7", 1, "x"))).select(ledger.names)
+
+    def folders(frame):
+        return {r[0].rsplit("/", 2)[1] for r in frame.select("_metadata.file_path").distinct().collect()}
+
+    read = ledger.touched(rows, asked)
+    assert len(folders(rows)) == sinks.LEDGER_BUCKETS and len(folders(read)) == 1
+    sinks.keyed_append(batch(spark, ("a", "7", 1, "x")), path)
+    assert held(spark, path) == sorted(("a", str(i), "x") for i in range(200))
+
+
+def test_marks_advance_after_the_append(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "docs")
+    feed = batch(spark, ("a", "1", 1, "x"), ("a", "2", 5, "y"), ("b", "3", 2, "z"))
+    assert marks.pull(feed, path).count() == 3
+    later = feed.unionByName(batch(spark, ("a", "4", 6, "new"), ("c", "5", 1, "other")))
+    with monkeypatch.context() as patch:
+        patch.setattr(marks, "advance", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            marks.pull(later, path)
+    # the instant of each mark comes again, what lies before it does not
+    assert sorted(r["source_id"] for r in marks.pull(later, path).collect()) == ["2", "3", "4", "5"]
+    assert sorted(r["source_id"] for r in marks.pull(later, path).collect()) == ["3", "4", "5"]
+    assert len(held(spark, path)) == 5
+    # a change of the instant of the mark that comes later is not lost
+    marks.pull(later.unionByName(batch(spark, ("a", "9", 6, "late"))), path)
+    assert len(held(spark, path)) == 6
+
+
+def test_stream_judges_by_default(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.json").write_text('{"id": "1", \n{"id": "2"}\n')
+    table, progress = (str(tmp_path / n) for n in ("table", "progress"))
+    feed = stream.landed_stream(spark, str(tmp_path / "in"), S.ARXIV_RECORD)
+    stream.ingest(feed, ingest.normalise_arxiv, table, progress).awaitTermination()
+    rejects = spark.read.parquet(f"{table}/{stream.REJECTS}")
+    assert {r["reject_reason"] for r in rejects.collect()} == {"unreadable line", "no readable publish date"}
