@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from folioscope.functions.text import let, term_counts, tokenize
 from folioscope.operators.lemma import lemma_map, may_inflect
-from folioscope.session import broadcast_if_small, stable
+from folioscope.operators.ordinal import highest
+from folioscope.session import broadcast_if_small, measured, stable
+
+# Terms that are broadcast when the whole vocabulary is too large for it; a term is a word, and words
+# so frequent are short, so this many stay well within the memory of a task.
+HOT_TERMS = 100_000
 
 
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -157,20 +162,43 @@ def fit(
     if high is not None:
         terms = terms.where(F.col("df") <= _threshold(high, n))
     if max_features is not None:
-        terms = terms.orderBy(F.desc("tf_total"), "term").limit(max_features)
+        terms = highest(terms, "tf_total", "term", max_features)
     return terms.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def transform(counts: DataFrame, key: str, model: DataFrame) -> DataFrame:
+def with_idf(rows: DataFrame, model: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
+    """``rows`` of terms the model knows, with their ``idf``.
+
+    A model within the bounds of a broadcast is broadcast. A larger one is cut at a document
+    frequency: the terms above it, at most ``hot_terms``, hold most of the rows and would each
+    meet in one task, so they are broadcast; only rows of the others are shuffled, and none of those
+    terms has more rows than the cut.
+    """
+    known, small = measured(model.select("term", "idf"))
+    if small:
+        return rows.join(F.broadcast(known), "term")
+    frequencies = model.select("df", "term")
+    cut = highest(frequencies, "df", "term", hot_terms).agg(F.min("df")).first()[0]
+    if cut is None:
+        return rows.join(known, "term")
+    hot = model.where(F.col("df") > cut).select("term", F.col("idf").alias("hot_idf"))
+    tagged = rows.join(F.broadcast(hot), "term", "left")
+    often = tagged.where(F.col("hot_idf").isNotNull()).withColumnRenamed("hot_idf", "idf")
+    seldom = tagged.where(F.col("hot_idf").isNull()).drop("hot_idf")
+    rare = model.where(F.col("df") <= cut).select("term", "idf")
+    return often.unionByName(seldom.join(rare, "term"))
+
+
+def transform(
+    counts: DataFrame, key: str, model: DataFrame, hot_terms: int = HOT_TERMS
+) -> DataFrame:
     """``(key, vector)``: L2-normalised weights as an array of ``(term, weight)`` in term order.
 
     Terms the model does not know are ignored before the norm is taken. A document without a
     known term has no row here: take set sizes from the documents, not from the vectors.
     """
-    idf = broadcast_if_small(model.select("term", "idf"))
     weights = (
-        long_counts(counts, key)
-        .join(idf, "term")
+        with_idf(long_counts(counts, key), model, hot_terms)
         .select(key, F.struct("term", (F.col("tf") * F.col("idf")).alias("weight")).alias("w"))
         .groupBy(key)
         .agg(F.sort_array(F.collect_list("w")).alias("raw"))

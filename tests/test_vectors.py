@@ -179,6 +179,97 @@ def test_neighbours_of_opposed_vectors_are_ranked(spark):
     assert least.count() == 4
 
 
+@pytest.mark.parametrize("leaders, floor", [(1, None), (3, None), (8, 0.2), (40, None)])
+def test_sparse_search_with_other_queries(spark, leaders, floor):
+    """Topics of their own, so that some leaders are left out; queries that are no documents."""
+    rng = random.Random(leaders)
+    topics = [[f"t{chr(97 + t)}{chr(97 + i)}x" for i in range(12)] for t in range(5)]
+    rows = [(i, " ".join(rng.choices(topics[i % 5], k=6)), []) for i in range(80)]
+    done = embedded(spark, rows)
+    vectors = brute(rows)
+    asked = done.vectors.where("id < 15").select((F.col("id") + 1000).alias("id"), "vector")
+    found = neighbours.similar_sparse(
+        asked, done.vectors, "id", k=3, min_score=floor, leaders=leaders, block_terms=30
+    ).collect()
+    got = {(r["id"], r["rank"]): (r["other"], r["cos"]) for r in found}
+    for q in range(15):
+        scores = [(-round(cosine(vectors[q], w), 12), j) for j, w in vectors.items()]
+        want = [(j, -s) for s, j in sorted(scores)[:3] if floor is None or -s >= floor]
+        for rank, (j, s) in enumerate(want, 1):
+            assert got.pop((q + 1000, rank)) == (j, pytest.approx(s, abs=1e-8))
+    assert not got
+
+
+def test_bounds_leave_blocks_out(spark, monkeypatch):
+    """Five topics without a word in common: a query sees the documents of its own topic only."""
+    rng = random.Random(2)
+    topics = [[f"t{chr(97 + t)}{chr(97 + i)}x" for i in range(12)] for t in range(5)]
+    rows = [(i, " ".join(rng.choices(topics[i % 5], k=8)), []) for i in range(100)]
+    visits, blocks = [], []
+    partial = neighbours._partial_top_k
+
+    def watched(queries, corpus, *args):
+        visits.append((corpus if queries is None else queries).count())
+        blocks.append(corpus.select("block").distinct().count())
+        return partial(queries, corpus, *args)
+
+    monkeypatch.setattr(neighbours, "_partial_top_k", watched)
+    vectors = embedded(spark, rows).vectors
+    neighbours.similar_sparse(vectors, vectors, "id", k=2, leaders=20, block_terms=30).collect()
+    home, further = visits
+    assert home == 100 and blocks[0] > 10 and further < 100 * (blocks[0] - 1) / 2
+
+
+def test_empty_sides_of_a_search(spark):
+    vectors = embedded(spark, corpus()).vectors
+    none = vectors.where("id < 0")
+    assert neighbours.similar_sparse(none, vectors, "id").count() == 0
+    assert neighbours.similar_sparse(vectors, none, "id").count() == 0
+    dense = spark.createDataFrame([(1, [1.0, 0.0])], "id bigint, v array<double>")
+    assert neighbours.similar_dense(dense.where("id < 0"), dense, "id", "v", dims=2).count() == 0
+    assert neighbours.similar_dense(dense, dense.where("id < 0"), "id", "v", dims=2).count() == 0
+
+
+def test_disjoint_masks_are_counted(spark):
+    rng = np.random.default_rng(4)
+    masks, counts = np.arange(32), rng.integers(0, 5, 32)
+    listed = np.repeat(masks, counts)
+    want = sum(a & b == 0 for i, a in enumerate(listed) for b in listed[:i])
+    assert sim.disjoint_pairs(masks, counts, 5) == want
+    many = counts * 10**10
+    n0 = int(many[0])
+    ordered = sum(int(a) * int(b) for i, a in enumerate(many) for j, b in enumerate(many) if i & j == 0)
+    assert sim.disjoint_pairs(masks, many, 5) == (ordered - n0) // 2
+
+
+@pytest.mark.parametrize("frequent", [1, 4, 16])
+def test_pairs_of_classes_match_all_pairs(spark, monkeypatch, frequent):
+    monkeypatch.setattr(sim, "FREQUENT", frequent)
+    rng = random.Random(frequent)
+    rows = [(i, " ".join(rng.sample(WORDS, rng.randint(0, 3))), [f"c{i % 2}"]) for i in range(120)]
+    done = embedded(spark, rows)
+    members = sim.occurrences(done.documents, "id", "categories")
+    tagged = sim.tag(members, done.vectors, "id", ["category"])
+    sets = {i: set(t.split()) for i, t, _ in rows}
+    want = {
+        f"c{c}": sum(bool(sets[i] & sets[j]) for i in sets for j in sets if i < j and i % 2 == j % 2 == c)
+        for c in (0, 1)
+    }
+    for block_terms in (5, 10_000):
+        got = sim.nonzero_pairs(tagged, ["category"], block_terms).collect()
+        assert {r["category"]: r["nonzero_pairs"] for r in got} == want
+
+
+@pytest.mark.parametrize("hot_terms", [0, 3, 1000])
+def test_hot_terms_are_joined_apart(spark, monkeypatch, hot_terms):
+    rows = corpus()
+    counts = tfidf.document_counts(documents(spark, rows), "id", "text")
+    model = tfidf.fit(counts)
+    small = sorted(map(str, tfidf.transform(counts, "id", model).collect()))
+    monkeypatch.setattr("folioscope.session.BROADCAST_ROWS", 2)
+    assert sorted(map(str, tfidf.transform(counts, "id", model, hot_terms).collect())) == small
+
+
 def test_cosine_of_zero_vector_is_zero(spark):
     row = spark.sql("select array(0d, 0d) a, array(1d, 2d) b, array(2d, 4d) c").select(
         V.cosine(F.col("a"), F.col("b")), V.cosine(F.col("b"), F.col("c")), V.has_dims(F.col("a"), 2)
@@ -198,6 +289,16 @@ def test_lemmas_are_the_shortest_known_form(spark):
     assert {r["term"]: r["lemma"] for r in other} == {"women": "woman", "ashes": "ash", "cats": "cat"}
 
 
+def test_irregular_nouns_go_before_the_rules(spark):
+    def frame(words):
+        return spark.createDataFrame([(w,) for w in words], "term string")
+
+    terms = ["children", "child", "indices", "index", "matrices", "axes", "axis", "axe", "mice", "criteria"]
+    known = {r["term"]: r["lemma"] for r in lemma_map(frame(terms), frame(terms)).collect()}
+    # a base form that the lexicon does not list is no lemma
+    assert known == {"children": "child", "indices": "index", "axes": "axis"}
+
+
 def test_lemmatised_counts_add_up(spark):
     rows = [(1, "cats cat cats dog", []), (2, "", []), (3, "dogs dog", []), (4, "bird", [])]
     counts = tfidf.document_counts(documents(spark, rows), "id", "text")
