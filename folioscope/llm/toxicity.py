@@ -1,15 +1,22 @@
 """Toxicity by maximum-scoring segments over token log-odds.
 
-A model is fitted on a bounded sample of labelled rows: the document counts of tokens in both
+A model is fitted on a bounded sample of labelled texts: the document counts of tokens in both
 classes give log-odds under a Dirichlet prior. The prior of a token is the rate of its first letters,
 so a token never seen inherits what tokens with the same beginning showed. Tokens without evidence
 score a small constant below zero. A linear scan then finds every maximal segment of positive score
 in a text; segments are judged by extreme-value statistics (the chance that a clean text of this
 length holds segments that good), and a logistic curve turns that chance into a probability.
 
+Evidence is kept honest at any number of labels. Equal texts count once. A token enters the lexicon
+only if its evidence passes a bar that rises with the number of tokens tried, if it leans at least
+``LEAST_SCORE`` either way, and if two halves of the sample show it each on its own. Which half a text
+belongs to is decided by its least shingle, so near copies fall into the same half and cannot vouch
+for each other. The tail of chance segments and the curve are fitted on a further part of the sample,
+which the lexicon has not seen.
+
 Bounds: ``sample_rows`` labelled rows per class and ``lexicon_size`` tokens; both are model sizes,
 every text is scanned whole. Labels of one document that disagree count as toxic; null labels do not
-count.
+count. Where the further part lacks a class, the curve is fitted on the whole sample.
 
 Defined results: a null or empty text, and one without letters, has no segment and gets the score of
 a text without evidence; without any labelled text of both classes every score is 0; repeated rows
@@ -20,7 +27,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,16 +35,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.batches import pieces
+from folioscope.session import stable
 
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 20_000
-STEMS = (6, 5, 4)
-LEAST_STEM_SCORE = 2.5
+STEMS = (8, 7, 6, 5, 4)
+LEAST_STEM_SCORE = 2.0
+LEAST_SCORE = 1.5
 PRIOR_DOCS = 4.0
-LEAST_Z = 3.7
+FALSE_TOKENS = 0.05  # expected number of tokens that pass the bar by chance
+LEAST_HALF_Z = 2.0
+MOST_TRIED = 200
+SHINGLE = 3
+PARTS = 5  # of the sample: two for each half of the evidence, the last for the curve
 REST = -0.25
 MOST_SURPRISE = 40.0
-MEMO_SIZE = 150_000
+MEMO_SIZE = 100_000
+COUNTS_AT_ONCE = 60_000
 THRESHOLD = 0.3
 
 
@@ -160,28 +174,42 @@ def labelled_sample(labels: DataFrame, key: str, label: str, rows: int) -> DataF
     return halves[0].unionAll(halves[1])
 
 
+def part_of(words: list[str]) -> int:
+    """Which part of the sample a text belongs to: near copies mostly share their least shingle."""
+    shingles = range(max(1, len(words) - SHINGLE + 1))
+    least = min(zlib.crc32(" ".join(words[i : i + SHINGLE]).encode("utf-8", "replace")) for i in shingles)
+    # the least of many hashes is small, so the part is taken from another hash of it
+    return zlib.crc32(str(least).encode()) % PARTS
+
+
+COUNTS = [f"{half}{y}" for half in "ab" for y in (0, 1)]
+
+
 def _count_tokens(batches: Iterator) -> Iterator:
-    """Document counts of words and of stems per class, added up before they leave the task."""
+    """Document counts of words and of stems per half and class, added up before they leave the task."""
     import pyarrow as pa
 
-    def out(counts: Counter) -> pa.RecordBatch:
-        rows = [(stem, name, n0, n1) for (stem, name), (n0, n1) in counts.items()]
-        columns = list(zip(*rows))
-        kinds = [pa.bool_(), pa.string(), pa.int64(), pa.int64()]
+    def out(counts: dict) -> pa.RecordBatch:
+        columns = list(zip(*[(*name, *row) for name, row in counts.items()]))
+        kinds = [pa.bool_(), pa.string(), *[pa.int64()] * len(COUNTS)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["stem", "name", "n0", "n1"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["stem", "name", *COUNTS]
         )
 
     counts: dict = {}
     for batch in pieces(batches):
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(tokens(text))
+            listed = tokens(text)
+            half = part_of(listed) // 2
+            if half > 1:
+                continue
+            words = set(listed)
             stems = {w[:size] for w in words for size in STEMS if len(w) > size}
-            for name in [(False, w) for w in words] + [(True, s) for s in stems]:
-                counts.setdefault(name, [0, 0])[y] += 1
-        if len(counts) > MEMO_SIZE:
-            yield out(counts)
-            counts = {}
+            for name in [(False, w) for w in words] + [(True, s) for s in stems] + [(True, "")]:
+                counts.setdefault(name, [0] * len(COUNTS))[2 * half + y] += 1
+            if len(counts) > COUNTS_AT_ONCE:
+                yield out(counts)
+                counts = {}
     if counts:
         yield out(counts)
 
@@ -206,38 +234,73 @@ def _evidence(n0: Column, n1: Column, total0: float, total1: float) -> Column:
     return F.sqrt(F.greatest(g, F.lit(0.0))) * F.signum(n1 - n * share)
 
 
-def _lexicon(sample: DataFrame, size: int) -> tuple[dict, dict, float, float]:
-    """Scores of words and of stems with evidence, and the number of sampled texts per class."""
-    sums = sample.groupBy("y").count().collect()
-    total = {r["y"]: float(r["count"]) for r in sums}
-    total0, total1 = total.get(0, 0.0), total.get(1, 0.0)
-    if not total0 or not total1:
-        return {}, {}, total0, total1
-    counts = (
+def evidence_bar(tried: int) -> float:
+    """A bar that at most ``FALSE_TOKENS`` of so many standard normal values are expected to pass."""
+    return math.sqrt(2 * math.log(max(tried, 1) / FALSE_TOKENS))
+
+
+def testable(counts: dict[int, int], share: float) -> tuple[int, float]:
+    """The least number of texts a token needs to be tried, and the bar for the tokens tried.
+
+    A token of ``n`` texts that are all toxic, ``share`` of all texts being so, has the most evidence
+    ``n`` texts can give. Tokens too rare to pass the bar that way are not tried, so they do not raise it.
+    ``counts`` says how many tokens stand in how many texts.
+    """
+    for n in range(1, max(counts, default=0) + 1):
+        bar = evidence_bar(sum(c for k, c in counts.items() if k >= n))
+        if math.sqrt(-2 * n * math.log(share)) >= bar:
+            return n, bar
+    return 1, evidence_bar(sum(counts.values()))
+
+
+def _lexicon(sample: DataFrame, size: int) -> tuple[dict, dict]:
+    """Scores of words and of stems with evidence in both halves of the sample."""
+    counts = stable(
         sample.select("text", "y")
-        .mapInArrow(_count_tokens, "stem boolean, name string, n0 bigint, n1 bigint")
+        .mapInArrow(_count_tokens, "stem boolean, name string, " + ", ".join(f"{c} bigint" for c in COUNTS))
         .groupBy("stem", "name")
-        .agg(F.sum("n0").cast("double").alias("n0"), F.sum("n1").cast("double").alias("n1"))
+        .agg(*[F.sum(c).cast("double").alias(c) for c in COUNTS])
     )
-    n0, n1 = F.col("n0"), F.col("n1")
-    # the strongest on either side; the order ends in the name, so that ties are settled
-    ranked = counts.select(
+    # the empty stem stands in every text
+    total = counts.filter("stem AND name = ''").first()
+    if total is None or not all(total[c] for c in COUNTS):
+        return {}, {}
+    tried = counts.filter("name <> ''")
+    n = {c: F.col(c) for c in COUNTS}
+    texts = n["a0"] + n["a1"] + n["b0"] + n["b1"]
+    toxic = total["a1"] + total["b1"]
+    bars = {}
+    for stem in (False, True):
+        # at most MOST_TRIED rows
+        held = tried.filter(F.col("stem") == stem).groupBy(F.least(texts, F.lit(MOST_TRIED)).alias("n"))
+        sizes = {int(r["n"]): r["count"] for r in held.count().collect()}
+        bars[stem] = testable(sizes, toxic / (toxic + total["a0"] + total["b0"]))
+
+    def by_kind(i: int) -> Column:
+        return F.when(F.col("stem"), bars[True][i]).otherwise(bars[False][i])
+    both = [n["a0"] + n["b0"], n["a1"] + n["b1"], total["a0"] + total["b0"], total["a1"] + total["b1"]]
+    halves = [_evidence(n[f"{h}0"], n[f"{h}1"], total[f"{h}0"], total[f"{h}1"]) for h in "ab"]
+    z, score = F.col("z"), F.col("score")
+    least = F.when(F.col("stem"), LEAST_STEM_SCORE).otherwise(LEAST_SCORE)
+    ranked = tried.filter(texts >= by_kind(0)).select(
         "stem",
         "name",
-        _log_odds(n0, n1, total0, total1).alias("score"),
-        _evidence(n0, n1, total0, total1).alias("z"),
-    ).filter((F.abs("z") >= LEAST_Z) & (~F.col("stem") | (F.abs("score") >= LEAST_STEM_SCORE)))
+        _log_odds(*both).alias("score"),
+        _evidence(*both).alias("z"),
+        F.least(*[h * F.signum(_evidence(*both)) for h in halves]).alias("half_z"),
+    ).filter((F.abs(z) >= by_kind(1)) & (F.col("half_z") >= LEAST_HALF_Z) & (F.abs(score) >= least))
     words, stems = {}, {}
+    # the strongest on either side; the order ends in the name, so that ties are settled
     for positive in (True, False):
-        side = ranked.filter(F.col("z") > 0 if positive else F.col("z") < 0)
+        side = ranked.filter(z > 0 if positive else z < 0)
         top = side.orderBy(F.abs("z").desc(), "name", "stem").limit(size // 2)
         for row in top.collect():
             (stems if row["stem"] else words)[row["name"]] = row["score"]
-    return words, stems, total0, total1
+    return words, stems
 
 
 def _measure(model: Model, cut: float):
-    """Rows ``(text, y)`` to ``(y, n_tokens, best segment, segments over the cut, surprise)``."""
+    """Rows ``(text, y)`` to ``(y, unseen by the lexicon, tokens, segments over the cut, surprise)``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -248,25 +311,41 @@ def _measure(model: Model, cut: float):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 segments, n = evidence(text, memo)
                 over = sum(s[2] >= cut for s in segments)
-                rows.append((y, n, over, surprise(segments, n, model)))
+                unseen = part_of(tokens(text)) == PARTS - 1
+                rows.append((y, unseen, n, over, surprise(segments, n, model)))
             if rows:
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.float64()]
+                kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["y", "n", "over", "x"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                    names=["y", "unseen", "n", "over", "x"],
                 )
 
     return run
 
 
 def _logistic(rows: list[tuple[float, float, float]]) -> tuple[float, float]:
-    """Slope and offset of a ridge logistic curve through weighted ``(x, y, weight)`` by Newton."""
+    """Slope and offset of a ridge logistic curve through weighted ``(x, y, weight)``.
+
+    Newton steps, halved until they lower the loss, so that the fit never leaves the data; the slope
+    of a surprise is never below zero.
+    """
+    ridge = 1e-3
+
+    def loss(slope: float, offset: float) -> float:
+        total = ridge * (slope * slope + offset * offset) / 2
+        for x, y, w in rows:
+            m = (offset + slope * x) * (1 - 2 * y)
+            total += w * (max(m, 0.0) + math.log1p(math.exp(-abs(m))))
+        return total
+
     slope, offset = 0.0, 0.0
-    for _ in range(60):
-        g = [1e-3 * slope, 1e-3 * offset]
-        h = [1e-3 + 1e-9, 0.0, 1e-3 + 1e-9]
+    now = loss(slope, offset)
+    for _ in range(100):
+        g = [ridge * slope, ridge * offset]
+        h = [ridge, 0.0, ridge]
         for x, y, w in rows:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, offset + slope * x))))
-            d, v = w * (p - y), w * max(p * (1 - p), 1e-9)
+            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, offset + slope * x))))
+            d, v = w * (p - y), w * p * (1 - p)
             g[0] += d * x
             g[1] += d
             h[0] += v * x * x
@@ -274,12 +353,13 @@ def _logistic(rows: list[tuple[float, float, float]]) -> tuple[float, float]:
             h[2] += v
         det = h[0] * h[2] - h[1] * h[1]
         step = ((h[2] * g[0] - h[1] * g[1]) / det, (h[0] * g[1] - h[1] * g[0]) / det)
-        size = max(abs(step[0]), abs(step[1]))
-        damp = min(1.0, 2.0 / size) if size else 1.0
-        slope, offset = slope - damp * step[0], offset - damp * step[1]
-        if size < 1e-7:
+        size = 1.0
+        while (then := loss(slope - size * step[0], offset - size * step[1])) > now and size > 1e-9:
+            size /= 2
+        if then > now - 1e-10 * abs(now):
             break
-    return slope, offset
+        slope, offset, now = slope - size * step[0], offset - size * step[1], then
+    return max(slope, 0.0), offset
 
 
 def fit(
@@ -291,27 +371,35 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     lexicon_size: int = LEXICON_SIZE,
 ) -> Model:
-    """Fit on at most ``sample_rows`` labelled rows of each class.
+    """Fit on the distinct texts of at most ``sample_rows`` labelled rows of each class.
 
     The sampled keys are at most ``2 * sample_rows`` numbers, so they are broadcast.
     """
     picked = labelled_sample(labels, key, label, sample_rows)
-    sample = (
+    sample = stable(
         docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
         .join(F.broadcast(picked), "id")
+        .groupBy("y", F.xxhash64("text").alias("same"))
+        .agg(F.max("text").alias("text"))
         .select("text", "y")
     )
-    words, stems, total0, total1 = _lexicon(sample, lexicon_size)
+    words, stems = _lexicon(sample, lexicon_size)
     model = Model(words, stems)
     if not words and not stems:
         return model
     # Tail of chance segments in clean texts: the decay is one, as scores are log-odds of the two
     # classes; the volume is fitted to how many segments over a cut clean texts really hold.
     cut = 2.0
-    shape = "y int, n bigint, over bigint, x double"
-    seen = sample.mapInArrow(_measure(model, cut), shape)
-    clean = seen.filter("y = 0").agg(F.sum("over").alias("over"), F.sum("n").alias("n")).first()
-    model.volume = ((clean["over"] or 0) + 0.5) / ((clean["n"] or 0) + 1.0) * math.exp(cut)
+    shape = "y int, unseen boolean, n bigint, over bigint, x double"
+    clean = (
+        sample.mapInArrow(_measure(model, cut), shape)
+        .filter("y = 0")
+        .groupBy("unseen")
+        .agg(F.sum("over").alias("over"), F.sum("n").alias("n"))
+        .collect()
+    )
+    tail = next((r for r in clean if r["unseen"]), clean[0])
+    model.volume = ((tail["over"] or 0) + 0.5) / ((tail["n"] or 0) + 1.0) * math.exp(cut)
     # classes were sampled on their own, so each text weighs as its class does among all labels
     shares = dict(
         labels.filter(F.col(label).isNotNull() & ~held_out(F.col(key)))
@@ -321,11 +409,15 @@ def fit(
     )
     points = (
         sample.mapInArrow(_measure(model, cut), shape)
-        .groupBy("y", F.round(F.least("x", F.lit(MOST_SURPRISE)), 1).alias("x"))
+        .groupBy("y", "unseen", F.round(F.least("x", F.lit(MOST_SURPRISE)), 1).alias("x"))
         .count()
         .collect()
     )
-    weight = {y: shares.get(y, n) / n for y, n in ((0, total0), (1, total1))}
+    unseen = [p for p in points if p["unseen"]]
+    if {p["y"] for p in unseen} == {0, 1}:
+        points = unseen
+    held = {y: sum(p["count"] for p in points if p["y"] == y) for y in (0, 1)}
+    weight = {y: shares.get(y, held[y]) / held[y] for y in (0, 1)}
     model.slope, model.offset = _logistic(
         [(p["x"], p["y"], p["count"] * weight[p["y"]]) for p in points]
     )

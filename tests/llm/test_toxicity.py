@@ -1,7 +1,10 @@
 """Segments against all intervals, held-out accuracy, and awkward tables."""
 
+import math
 import random
+import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -66,3 +69,84 @@ def test_no_labels_and_empty_tables(spark, tmp_path):
     assert [(r.score < 1e-9, r.predicted) for r in QUERIES["op7_toxicity"](spark, one).collect()] == [(True, 0)]
     empty = tables(tmp_path / "b", documents=documents(spark, []), labels=none)
     assert QUERIES["op7_toxicity"](spark, empty).count() == 0
+
+
+def plain_segments(scores):
+    """The segment of highest score, then those on either side of it."""
+    spans = [(sum(scores[i:j]), i - j, -i) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    best, minus, first = max(spans, default=(0, 0, 0))
+    if best <= 0:
+        return []
+    start, end = -first, -first - minus
+    return plain_segments(scores[:start]) + [best] + plain_segments(scores[end:])
+
+
+def plain_score(text, model):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    scores = []
+    for w in words:
+        stem = next((w[:n] for n in toxicity.STEMS if len(w) > n and w[:n] in model.stems), None)
+        scores.append(model.words.get(w, model.stems[stem] if stem else -0.25))
+    chance, total, x = model.volume * max(len(words), 1), 0.0, 0.0
+    for r, s in enumerate(sorted(plain_segments(scores), reverse=True), 1):
+        total += s - math.log(chance)
+        if total <= 0:
+            break
+        tail = math.exp(-total) * total ** (r - 1) / (math.factorial(r) * math.factorial(r - 1))
+        x = max(x, -math.log(tail) - r * math.log(2))
+    return 1 / (1 + math.exp(-(model.offset + model.slope * min(x, 40.0))))
+
+
+def test_scores_match_a_plain_version(spark):
+    draw = random.Random(8)
+    model = toxicity.Model(
+        {"bad": 2.5, "awful": 3.1, "nice": -1.2, "so": 0.4}, {"idio": 2.9, "moro": 1.7}, 1.0, 0.02, 0.8, -3.0
+    )
+    texts = [None, "", "123", "nice nice"] + [
+        " ".join(draw.choices("the so bad idiotic nice of x awful Moron! idio".split(), k=draw.randint(1, 14)))
+        for _ in range(60)
+    ]
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.tox_score for r in toxicity.score(docs, model).collect()}
+    for i, text in enumerate(texts):
+        assert abs(got[i] - plain_score(text, model)) < 1e-9
+
+
+def test_evidence_and_curve_of_a_hand_made_sample(spark):
+    assert toxicity.evidence_bar(1_000_000) > toxicity.evidence_bar(1000) > 4
+    slope, offset = toxicity._logistic([(0.0, 0, 50.0), (10.0, 1, 40.0), (0.0, 1, 1.0), (10.0, 0, 1.0)])
+    curve = [1 / (1 + math.exp(-(offset + slope * x))) for x in (0, 10)]
+    assert abs(curve[0] - 1 / 51) < 0.01 and abs(curve[1] - 40 / 41) < 0.01
+    # separable points and points that lean the wrong way leave a finite, rising curve
+    assert toxicity._logistic([(0.0, 0, 9e4), (40.0, 1, 1e4)])[0] > 0.1
+    assert toxicity._logistic([(0.0, 1, 10.0), (9.0, 0, 10.0)])[0] == 0.0
+
+
+def crowd(spark, folder, copies):
+    """Texts of random syllables, a tenth of them toxic, and near copies of all of them."""
+    draw = random.Random(11)
+    syllables = ["an", "er", "th", "on", "in", "re", "st", "ou", "ha", "wh", "le", "ve"]
+    insults = ["moron", "clown", "trash", "loser", "scum"]
+    texts, marks = [], []
+    for i in range(900):
+        words = ["".join(draw.choices(syllables, k=draw.randint(1, 3))) for _ in range(draw.randint(20, 60))]
+        toxic = i % 10 == 0
+        for _ in range(3 * toxic):
+            words.insert(draw.randrange(len(words)), draw.choice(insults))
+        for c in range(copies):
+            if c:
+                words[draw.randrange(len(words))] = "".join(draw.choices(syllables, k=4))
+            texts.append(" ".join(words))
+            marks.append((len(texts) - 1, int(toxic)))
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    return tables(folder, documents=docs, labels=labels.selectExpr("*", "1 AS quality")), dict(marks)
+
+
+@pytest.mark.parametrize("copies", [1, 20])
+def test_near_copies_change_neither_recall_nor_what_is_flagged(spark, tmp_path, copies):
+    folder, marks = crowd(spark, tmp_path, copies)
+    rows = [r for r in QUERIES["op7_toxicity"](spark, folder).collect() if r.held_out]
+    toxic = [r.predicted for r in rows if marks[r.doc_id]]
+    clean = [r.predicted for r in rows if not marks[r.doc_id]]
+    assert sum(toxic) >= 0.95 * len(toxic) and sum(clean) <= 0.01 * len(clean)
