@@ -5,8 +5,8 @@ term draws two gamma variables and a uniform one that depend on the term and the
 the term of least value, with the step its weight falls on, is the sample. Two texts share a sample
 with the chance of their generalised Jaccard similarity (sum of the smaller weights over sum of the
 larger), so the share of equal positions estimates it. The variables are drawn from a 64-bit hash of the
-term and the position, so terms share none; those of the first ``MEMO_TERMS`` terms of a worker are kept,
-others are drawn again for each text, with the same values.
+term and the position, so terms share none. A worker keeps those of up to ``MEMO_TERMS`` terms; when it is
+full the terms that texts used least make room. A term drawn again gets the same values.
 
 The next document needs an order over all documents without a single task: ids are cut at quantiles
 into buckets of about equal size, at most ``MOST_BUCKETS``, and the first row of each bucket is sent
@@ -31,9 +31,12 @@ from folioscope.llm.batches import pieces
 SAMPLES = 128
 SEED = 20_240_229
 BUCKET_ROWS = 1024
-MOST_BUCKETS = 8192
+MOST_BUCKETS = 1 << 16
 MEMO_TERMS = 1 << 16
+KEPT_TERMS = 1 << 14  # the most used ones, which stay when the memo is full
 TERMS_AT_ONCE = 4096
+DRAWN_AT_ONCE = 512
+ROWS_AT_ONCE = 64
 
 
 class Sampler:
@@ -43,10 +46,11 @@ class Sampler:
         import numpy as np
 
         draw = np.random.Generator(np.random.PCG64(seed))
-        self.keys = draw.integers(0, 1 << 64, (3, samples), dtype=np.uint64)
+        self.keys = draw.integers(0, 1 << 64, (2, samples), dtype=np.uint64)
         # r, the logarithm of c, and beta of the terms kept, and their values at weight one
         self.table = [np.empty((memo, samples), dtype=np.float32) for _ in range(4)]
         self.hashes = np.empty(memo, dtype=np.uint64)
+        self.used = np.zeros(memo, dtype=np.int32)
         self.samples, self.room = samples, memo
         self.memo: dict[str, int] = {}
 
@@ -54,55 +58,104 @@ class Sampler:
         """r, log c, beta and the values at weight one (where the step is zero) of hashed terms."""
         import numpy as np
 
-        halves = []
+        mixed = []
         for key in self.keys:
             x = hashes[:, None] ^ key
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 x ^= x >> np.uint64(shift)
                 x *= np.uint64(factor)
             x ^= x >> np.uint64(31)
-            halves += [x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)]
-        u = [(h + 0.5) * 2.0**-32 for h in halves[:4]]
+            mixed.append(x)
+
+        def uniform(x, shift: int):
+            # 23 bits and a half stand exactly in single precision, so no value is 0 or 1
+            bits = (x >> np.uint64(shift)).astype(np.uint32) & np.uint32((1 << 23) - 1)
+            return (bits.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-23)
+
+        u = [uniform(x, shift) for x in mixed for shift in (41, 18)]
         # a gamma variable of shape two is the sum of two exponential ones
-        r = -np.log(u[0] * u[1]).astype(np.float32)
-        log_c = np.log(-np.log(u[2] * u[3])).astype(np.float32)
-        beta = ((halves[4] >> np.uint64(8)) * 2.0**-24).astype(np.float32)
+        r = -np.log(u[0] * u[1])
+        log_c = np.log(-np.log(u[2] * u[3]))
+        low = mixed[0].astype(np.uint32) & np.uint32(0xFFFF)
+        beta = (low << np.uint32(7) | mixed[1].astype(np.uint32) & np.uint32(0x7F)).astype(np.float32)
+        beta *= np.float32(2.0**-23)
         return r, log_c, beta, log_c + r * (beta - 1)
 
     def _keep(self, words: list[str], hashes) -> None:
         start = len(self.memo)
-        for at in range(0, len(words), TERMS_AT_ONCE):
-            part = slice(at, at + TERMS_AT_ONCE)
+        for at in range(0, len(words), DRAWN_AT_ONCE):
+            part = slice(at, at + DRAWN_AT_ONCE)
             n = len(hashes[part])
             for table, found in zip(self.table, self.variables(hashes[part])):
                 table[start + at : start + at + n] = found
             self.hashes[start + at : start + at + n] = hashes[part]
         self.memo.update(zip(words, range(start, start + len(words))))
 
-    def bag(self, text: str):
+    def _make_room(self) -> None:
+        """Move the most used terms to the front and forget the others; older uses count half."""
+        import numpy as np
+
+        words = list(self.memo)
+        kept = np.argsort(-self.used[: len(words)], kind="stable")[: min(KEPT_TERMS, self.room // 4)]
+        for table in self.table:
+            table[: len(kept)] = table[kept]
+        self.hashes[: len(kept)] = self.hashes[kept]
+        self.used[: len(kept)] = self.used[kept] // 2
+        self.used[len(kept) :] = 0
+        self.memo = {words[i]: at for at, i in enumerate(kept.tolist())}
+
+    def learn(self, bags: list[Counter]) -> None:
+        """Draw for the terms of several texts at once, each term once; those beyond the room wait."""
+        import numpy as np
+        import xxhash
+
+        words = set().union(*bags)
+        new = [w for w in words if w not in self.memo]
+        if len(self.memo) + len(new) > self.room:
+            self._make_room()
+            new = [w for w in words if w not in self.memo]
+        new = [w for w in new if len(w) < 64][: self.room - len(self.memo)]
+        if new:
+            digest = xxhash.xxh64_intdigest
+            hashes = [digest(w.encode("utf-8", "surrogatepass")) for w in new]
+            self._keep(new, np.array(hashes, dtype=np.uint64))
+
+    def bag(self, counts: Counter):
         """Kept rows and their weights, and hashes and weights of the other terms of a text."""
         import numpy as np
         import xxhash
 
-        counts = Counter(text.split())
-        new = [w for w in counts if w not in self.memo]
+        rows = list(map(self.memo.get, counts))
+        if None in rows and len(self.memo) + rows.count(None) > self.room:
+            self._make_room()
+            rows = list(map(self.memo.get, counts))
         others: list[str] = []
-        if new:
+        if None in rows:
+            new = [w for w, row in zip(counts, rows) if row is None]
             short = [w for w in new if len(w) < 64][: self.room - len(self.memo)]
             hashes = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new}
             if short:
                 self._keep(short, np.array([hashes[w] for w in short], dtype=np.uint64))
             others = [w for w in new if w not in self.memo]
-        kept = [(self.memo[w], n) for w, n in counts.items() if w in self.memo]
-        rows = np.array(kept, dtype=np.int64).reshape(-1, 2)
+            rows = list(map(self.memo.get, counts))
+        weights = np.fromiter(counts.values(), np.int64, len(counts))
+        if others:
+            held = np.array([row is not None for row in rows])
+            weights = weights[held]
+            rows = [row for row in rows if row is not None]
+        rows = np.array(rows, dtype=np.int64)
+        self.used[rows] += 1
         rest = np.array([hashes[w] for w in others], dtype=np.uint64) if others else None
-        return rows[:, 0], rows[:, 1], rest, np.array([counts[w] for w in others], dtype=np.int64)
+        return rows, weights, rest, np.array([counts[w] for w in others], dtype=np.int64)
 
     def sample(self, text: str):
         """One 16-bit number per position; None for a text without words."""
+        return self.sample_bag(Counter(text.split()))
+
+    def sample_bag(self, counts: Counter):
         import numpy as np
 
-        rows, weights, rest, rest_weights = self.bag(text)
+        rows, weights, rest, rest_weights = self.bag(counts)
         if not len(rows) and rest is None:
             return None
         best = np.full(self.samples, np.inf, dtype=np.float32)
@@ -124,11 +177,12 @@ class Sampler:
         ones, more = rows[weights == 1], rows[weights > 1]
         for at in range(0, len(ones), TERMS_AT_ONCE):
             part = ones[at : at + TERMS_AT_ONCE]
-            lowest(single[part], self.hashes[part])
+            lowest(np.take(single, part, axis=0, mode="clip"), self.hashes[part])
         counts = weights[weights > 1]
         for at in range(0, len(more), TERMS_AT_ONCE):
             part = more[at : at + TERMS_AT_ONCE]
-            weighted(r[part], log_c[part], beta[part], counts[at : at + TERMS_AT_ONCE], self.hashes[part])
+            drawn = (np.take(table, part, axis=0, mode="clip") for table in (r, log_c, beta))
+            weighted(*drawn, counts[at : at + TERMS_AT_ONCE], self.hashes[part])
         for at in range(0, 0 if rest is None else len(rest), TERMS_AT_ONCE):
             part = rest[at : at + TERMS_AT_ONCE]
             weighted(*self.variables(part)[:3], rest_weights[at : at + TERMS_AT_ONCE], part)
@@ -230,10 +284,8 @@ def fingerprints(
         kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
         names = "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next".split()
 
-        def measures(one: tuple, following: tuple) -> tuple:
+        def measures(one: tuple, following: tuple, changed: str, changed_print) -> tuple:
             _, doc_id, value, print_ = one
-            changed = edited(value, following[2])
-            changed_print = sampler.sample(changed)
             return (
                 doc_id,
                 len(value),
@@ -245,16 +297,28 @@ def fingerprints(
             )
 
         waiting = None
-        for batch in pieces(batches):
-            rows = []
-            for bucket, guest, doc_id, value in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in pieces(batches, ROWS_AT_ONCE):
+            listed = [
+                (bucket, guest, doc_id, value or "")
+                for bucket, guest, doc_id, value in zip(*(c.to_pylist() for c in batch.columns))
+            ]
+            bags = [Counter(value.split()) for *_, value in listed]
+            sampler.learn(bags)
+            pairs = []
+            for (bucket, guest, doc_id, value), bag in zip(listed, bags):
                 if waiting is None and guest:
                     continue  # the bucket has met its guest
-                value = value or ""
-                row = (bucket, doc_id, value, sampler.sample(value))
+                row = (bucket, doc_id, value, sampler.sample_bag(bag))
                 if waiting is not None:
-                    rows.append(measures(waiting, row))
+                    pairs.append((waiting, row, edited(waiting[2], value)))
                 waiting = None if guest else row
+            # an edit cuts words in two, so edited texts bring terms of their own
+            bags = [Counter(changed.split()) for *_, changed in pairs]
+            sampler.learn(bags)
+            rows = [
+                measures(one, following, changed, sampler.sample_bag(bag))
+                for (one, following, changed), bag in zip(pairs, bags)
+            ]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names

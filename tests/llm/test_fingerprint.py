@@ -75,3 +75,16 @@ def test_terms_beyond_the_memo_have_the_same_variables():
     few, many = fingerprint.Sampler(memo=50), fingerprint.Sampler()
     assert (few.sample(text) == many.sample(text)).all()
     assert len(few.memo) == 50
+
+
+def test_terms_that_made_room_get_the_same_values(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    whole, small, learnt = fingerprint.Sampler(), fingerprint.Sampler(memo=300), fingerprint.Sampler(memo=2000)
+    for at in range(0, len(texts), 8):
+        bags = [Counter(t.split()) for t in texts[at : at + 8]]
+        learnt.learn(bags)
+        for text, bag in zip(texts[at : at + 8], bags):
+            want = fingerprint.as_text(whole.sample(text))
+            assert fingerprint.as_text(small.sample(text)) == want
+            assert fingerprint.as_text(learnt.sample_bag(bag)) == want
+    assert len(small.memo) <= 300 and len(learnt.memo) <= 2000
