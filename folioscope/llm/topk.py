@@ -1,8 +1,9 @@
 """Exact top-k by inner product: exhaustive term-at-a-time accumulation over blocks.
 
 Vectors become sparse integer rows. Candidates are packed, where they are scanned, into blocks that
-hold for each term (dimension) the postings ``(position, weight)``; queries are packed into blocks of
-sparse rows. Each query block meets each candidate block once: for every term the weights of the
+hold for each term (dimension) the postings ``(position, weight)``; queries are gathered first, so that
+they fill as few blocks as they need however they were scanned. Each query block meets each candidate
+block once; as long as the query blocks are small enough to broadcast, no candidate is moved for it: for every term the weights of the
 queries that have it are scattered, times the postings, into a dense array of scores, one line per
 query. A partition selection keeps the best of each line, ties included by the smaller id, and a
 window merges the lines of all blocks. A block is one row, so what is shipped and held is bounded by
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.session import stable
+from folioscope.session import broadcast_if_small, stable
 
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 4096
@@ -208,7 +209,10 @@ def top_k(
     ).filter("id IS NOT NULL AND v IS NOT NULL")
     packed = usable.select("id", "v").mapInArrow(_pack(candidate_rows), BLOCK)
     candidates = stable(packed)
-    queries = stable(usable.filter("asks").select("id", "v").mapInArrow(_pack(query_rows), BLOCK))
+    asked = stable(usable.filter("asks").select("id", "v"))
+    full = max(1, -(-asked.count() // query_rows))
+    # dealing in turn leaves the partitions equal but for a few rows, so each is one block
+    queries = stable(asked.repartition(full).mapInArrow(_pack(2 * query_rows), BLOCK))
     # one row per thousands of vectors is numbered here
     numbers = Window.orderBy("block")
     numbered = queries.select([F.col(c).alias(f"q_{c}") for c in queries.columns]).join(
@@ -221,7 +225,7 @@ def top_k(
         [F.col(c).alias(f"c_{c}") for c in candidates.columns]
         + [F.explode(meets).alias("number")]
     )
-    pairs = sent.join(numbered, F.col("number") == F.col("q_number")).drop("block", "number")
+    pairs = sent.join(broadcast_if_small(numbered), F.col("number") == F.col("q_number")).drop("block", "number")
     found = pairs.mapInArrow(
         _meet(k), "q_block bigint, line int, query_id bigint, vec_id bigint, score bigint"
     )

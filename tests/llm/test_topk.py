@@ -47,6 +47,24 @@ def test_blocks_of_any_size(spark, candidate_rows, query_rows):
     assert sorted(map(tuple, found.collect())) == plain(rows, 5)
 
 
+def test_queries_fill_as_few_blocks_as_they_need(spark, monkeypatch):
+    made = []
+    written = topk.stable
+
+    def watched(frame):
+        out = written(frame)
+        if "block" in out.columns and "id" not in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk, "stable", watched)
+    rows = spark.range(4000).repartition(40).selectExpr("id AS vec_id", "array(1D, id / 7D) AS embedding")
+    found = topk.top_k(rows, F.col("vec_id") % 20 == 0, k=2, query_rows=50)
+    assert found.count() == 400
+    # 200 queries over 40 partitions: four blocks of 50
+    assert made[1] == 4
+
+
 def test_nulls_lengths_repeats_and_large_values(spark, tmp_path):
     rows = [
         (0, [1.0, -1.0]),
