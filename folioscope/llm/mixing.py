@@ -5,15 +5,17 @@ a source is a weighted random order without replacement. A source first takes wh
 documents, then the documents of smallest key up to its budget of words. The draw is a hash of
 seed and id, so it can be repeated.
 
-Prefix sums need no task that sees a whole source: keys fall into ``slices`` equal parts of their
-distribution, the sums of the slices are added up within a source, and only rows of one slice are
-ordered together. The outcome of a source is a number of epochs and the last key taken, one row per
+Prefix sums need no task that sees a whole source: keys fall into ``slices`` equal parts of the
+distribution that texts of quality 1 have, and the sums of the slices are added up within a source.
+Keys of poor texts crowd into the last slices, so the slice that the budget ends in is cut again, at
+``EDGE_PARTS`` quantiles of the keys it really holds, and only rows of one such part are ordered
+together. The outcome of a source is a number of epochs and the last key taken, one row per
 source, so applying it to documents moves no text.
 
 Defined results: a null text has no words; a null source is a source of its own, last in the order;
 a source without words gets the target 0; repeated rows count as often as they occur and share
-their key; a null id has the key of the empty string; an empty table gives no rows; columns of the
-same names as the added ones are not read, and the added ones carry the prefix ``mix_``.
+their key; a null id has the key of the empty string; an empty table gives no rows; all columns of the
+input are kept, but for those of the same name as one of the four added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
 SLICES = 4096
+EDGE_PARTS = 256
 SEED = "mix-1"
 WORDS = r"[^\x20\x09-\x0D]+"
 # signs that prose seldom holds; their share lowers the quality of a text
@@ -105,6 +108,53 @@ def source_targets(
     return table.select("source", "source_size", target.cast("double").alias("target"))
 
 
+def _last_keys(drawn: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(source, last_key)``: the largest key of each edge slice that the budget still takes.
+
+    A document whose middle lies within the budget brings the total nearer to it.
+    """
+    same = F.col("d.source").eqNullSafe(F.col("e.source")) & F.expr("d.mix_slice = e.edge_slice")
+    rows = (
+        drawn.alias("d")
+        .join(edges.alias("e"), same)
+        .select(F.col("d.source").alias("source"), "mix_key", "mix_size", "before", "rest")
+    )
+    shares = [i / EDGE_PARTS for i in range(1, EDGE_PARTS)]
+    cuts = broadcast_if_small(
+        rows.groupBy(F.col("source").alias("cut_source")).agg(
+            F.percentile_approx("mix_key", shares, 100 * EDGE_PARTS).alias("cuts")
+        )
+    )
+    # equal keys are in one part, as they are taken together
+    part = F.size(F.filter("cuts", lambda c: c < F.col("mix_key")))
+    parted = rows.join(cuts, F.col("source").eqNullSafe(F.col("cut_source"))).withColumn("part", part)
+    # at most EDGE_PARTS rows per source meet in this window
+    running = F.sum("part_size").over(Window.partitionBy("source").orderBy("part"))
+    ends = broadcast_if_small(
+        parted.groupBy("source", "part", "before", "rest")
+        .agg(F.sum("mix_size").alias("part_size"))
+        .withColumn("part_end", F.col("before") + running)
+        .filter("part_end >= rest")
+        .groupBy(F.col("source").alias("end_source"))
+        .agg(F.min(F.expr("struct(part, part_end - part_size AS part_before)")).alias("end"))
+        .select("end_source", F.col("end.part").alias("end_part"), "end.part_before")
+    )
+    met = parted.join(ends, F.col("source").eqNullSafe(F.col("end_source")))
+    total = F.sum("mix_size").over(Window.partitionBy("source").orderBy("mix_key"))
+    within = (
+        met.filter("part = end_part")
+        .withColumn("middle", F.col("part_before") + total - F.col("mix_size") / 2)
+        .filter("middle <= rest")
+    )
+    earlier = met.filter("part < end_part")
+    return (
+        within.select("source", "mix_key")
+        .unionAll(earlier.select("source", "mix_key"))
+        .groupBy("source")
+        .agg(F.max("mix_key").alias("last_key"))
+    )
+
+
 def mix_plan(drawn: DataFrame) -> DataFrame:
     """What each source takes: whole ``epochs``, then all keys up to ``last_key``.
 
@@ -129,22 +179,7 @@ def mix_plan(drawn: DataFrame) -> DataFrame:
         .agg(F.min(F.expr("struct(mix_slice, slice_end - slice_size AS before, rest)")).alias("edge"))
         .select("source", F.col("edge.mix_slice").alias("edge_slice"), "edge.before", "edge.rest")
     )
-    same = F.col("d.source").eqNullSafe(F.col("e.source")) & F.expr("d.mix_slice = e.edge_slice")
-    total = F.sum("mix_size").over(Window.partitionBy("d.source").orderBy("mix_key"))
-    # a document whose middle lies within the budget brings the total nearer to it
-    last = (
-        drawn.alias("d")
-        .join(edges.alias("e"), same)
-        .select(
-            F.col("d.source").alias("source"),
-            "mix_key",
-            "rest",
-            (F.col("before") + total - F.col("mix_size") / 2).alias("middle"),
-        )
-        .filter("middle <= rest")
-        .groupBy("source")
-        .agg(F.max("mix_key").alias("last_key"))
-    )
+    last = _last_keys(drawn, edges)
     return (
         plan.drop("rest")
         .alias("p")
@@ -191,7 +226,17 @@ def mix(
     With ``measures_only`` all other columns but id and source are left out, which saves the second
     reading of the texts.
     """
-    full = keyed(docs, doc_id, text, source, slices)
-    drawn = stable(full.select(doc_id, source, "mix_size", "mix_key", "mix_slice"))
-    plan = mix_plan(drawn.withColumnRenamed(source, "source"))
-    return apply_plan(drawn if measures_only else full, source, plan).drop("mix_key", "mix_slice")
+    added = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
+    # the input's own columns travel in a struct, so no name of theirs can meet one used here
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    named = docs.select(
+        own, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")
+    )
+    full = keyed(named, "doc_id", "text", "source", slices)
+    drawn = stable(full.select("doc_id", "source", "mix_size", "mix_key", "mix_slice"))
+    rows = apply_plan(drawn if measures_only else full, "source", mix_plan(drawn))
+    if measures_only:
+        kept = [F.col("doc_id").alias(doc_id), F.col("source").alias(source)]
+    else:
+        kept = [F.col(f"doc.`{c}`") for c in docs.columns if c not in added]
+    return rows.select(*kept, *added)

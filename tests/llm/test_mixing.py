@@ -62,6 +62,33 @@ def test_taken_words_come_near_the_target(spark, tmp_path):
     assert all(abs(taken[s] - target[s]) <= 30 for s in target)
 
 
+def test_columns_of_the_input_are_kept_whatever_their_names(spark):
+    docs = documents(spark, ["a b", "c", "d e f"]).selectExpr(
+        "*", "1 AS mix_key", "2 AS plan_source", "3 AS mix_size", "4 AS doc", "5 AS mix_slice", "6 AS rest"
+    )
+    got = mixing.mix(docs)
+    assert sorted(got.columns) == sorted({*docs.columns, "mix_source_size", "mix_target", "mix_copies"})
+    for r in got.collect():
+        assert (r.mix_key, r.plan_source, r.doc, r.mix_slice, r.rest) == (1, 2, 4, 5, 6)
+        assert r.mix_size == len(r.text.split())
+
+
+def test_a_source_of_odd_signs_is_cut_where_its_keys_are(spark):
+    """Texts of the lowest quality crowd into the last slice; the order must still be by key."""
+    texts = [" ".join(["1" * 40] * (1 + i % 5)) for i in range(3000)]
+    docs = documents(spark, texts)
+    found = mixing.mix(docs, slices=16).select("doc_id", "mix_size", "mix_copies", "mix_target").collect()
+    keys = mixing.keyed(docs, "doc_id", "text", "source", 16).select("doc_id", "mix_key", "mix_slice").collect()
+    in_last = sum(r.mix_slice == 15 for r in keys)
+    assert in_last > 2000
+    key = {r.doc_id: r.mix_key for r in keys}
+    epochs = min(r.mix_copies for r in found)
+    taken = [key[r.doc_id] for r in found if r.mix_copies > epochs]
+    left = [key[r.doc_id] for r in found if r.mix_copies == epochs]
+    assert taken and left and max(taken) < min(left)
+    assert abs(sum(r.mix_size * r.mix_copies for r in found) - found[0].mix_target) <= 5
+
+
 def test_nulls_empty_long_and_repeated_rows(spark, tmp_path):
     texts = [None, "", " ", "a b", "a b", "x " * 200_000, "q"]
     docs = documents(spark, texts, ids=[1, None, 2, 3, 3, 4, 5], sources=[None, "s", "s", "t", "t", "u", None])
