@@ -11,7 +11,9 @@ then read by aligning it once more and keeping the slots.
 Markup that names its own purpose (menus, headers, footers, forms, notices, adverts, comments) by its
 element, its role or a whole name of a fixed list is never content, unless it is or holds an ``article``
 or ``main`` or, on a page without these, holds most of the text that varies. Elsewhere the wrapper decides: constant nodes go, also inside an ``article`` or ``main``
-element, and slots stay, also outside of one. What it leaves open (hosts with few distinct pages, nodes
+element, and slots stay, also outside of one where they hold more text than these elements do (teasers
+marked as articles beside a body that is not); where the article is the longer, slots outside of it are
+counters, dates and links to other pages, and go. What it leaves open (hosts with few distinct pages, nodes
 that few pages reach or that are neither constant nor varying) is kept inside these elements, where a
 page has one, and dropped outside.
 
@@ -407,7 +409,8 @@ def blocks(root: Node, constant: set[int], varying: set[int] = frozenset()) -> l
     """Text blocks of the content in page order.
 
     ``constant`` holds numbers of template nodes, which go wherever they are, and ``varying`` those of
-    slots, which stay. Regions, where a page has one, decide on the text that is neither.
+    slots. Slots outside of regions stay where they hold more text, links apart, than the regions.
+    Regions, where a page has one, decide on the text that is neither.
     """
     find_content(root, constant)
     has_region = False
@@ -417,24 +420,33 @@ def blocks(root: Node, constant: set[int], varying: set[int] = frozenset()) -> l
         if not _is_furniture(node):
             has_region = has_region or _is_region(node)
             todo.extend(node.children)
-    out: list[str] = []
+    out: list[tuple[str, bool]] = []  # with whether all of it comes from slots outside of regions
     line: list[str] = []
+    inner = False  # whether the block has text that stays in any case
+    weights = [0, 0]  # characters outside and inside
 
     def flush() -> None:
+        nonlocal inner
         text = SPACE.sub(" ", "".join(line)).strip()
         if text:
-            out.append(text)
+            out.append((text, not inner))
         line.clear()
+        inner = False
 
-    # (item, whether inside a region, whether inside a slot); None marks the end of a block
-    stack: list[tuple] = [(root, False, False)]
+    # (item, whether inside a region, whether inside a slot, whether inside a link); None marks the end
+    # of a block
+    stack: list[tuple] = [(root, False, False, False)]
     while stack:
-        item, inside, slot = stack.pop()
+        item, inside, slot, link = stack.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
             if inside or slot or not has_region:
                 line.append(html_codec.unescape(item))
+                stays = inside or not has_region
+                inner = inner or (stays and not item.isspace())
+                if stays or not link:
+                    weights[stays] += len(item.strip())
         else:
             # a page header is furniture, the header of an article is part of it
             own_header = inside and item.tag == "header" and not item.marks
@@ -444,12 +456,14 @@ def blocks(root: Node, constant: set[int], varying: set[int] = frozenset()) -> l
                 continue
             inside = inside or _is_region(item)
             slot = slot or item.number in varying
+            link = link or item.tag == "a"
             if item.tag in BLOCKS:
                 flush()
-                stack.append((None, inside, slot))
-            stack.extend((child, inside, slot) for child in reversed(item.items))
+                stack.append((None, inside, slot, link))
+            stack.extend((child, inside, slot, link) for child in reversed(item.items))
     flush()
-    return out
+    kept_outside = weights[False] > weights[True]
+    return [text for text, outside in out if kept_outside or not outside]
 
 
 def host_of(url: Column) -> Column:

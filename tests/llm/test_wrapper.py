@@ -141,6 +141,27 @@ def test_slots_decide_inside_and_outside_of_articles(spark, tmp_path):
     assert got == [f"Body {i} one\nBody {i} two\nTeaser {i}" for i in range(8)]
 
 
+def test_teasers_counters_and_dates_outside_of_articles_go(spark, tmp_path):
+    pages = [
+        f"<body><div>Site line</div><div>2024-03-{10 + i}</div><article><p>Story {i} begins here.</p>"
+        f"<p>Share this</p><p>Story {i} ends here.</p></article><div>Views {526635 + i * 7}</div>"
+        f"<div>Read next: <a href=x>another long story about number {i * 3} and more of it</a></div></body>"
+        for i in range(12)
+    ]
+    got = read_pages(spark, tmp_path, pages)
+    assert got == [f"Story {i} begins here.\nStory {i} ends here." for i in range(12)]
+
+
+def test_pages_without_articles_keep_their_slots(spark, tmp_path):
+    pages = [
+        f"<body><div><div>Site line</div><div>Log in</div></div><div><h1>Title {i}</h1><div>Part {i} a</div>"
+        f"<div>Part {i} b</div></div><div>All rights kept</div></body>"
+        for i in range(9)
+    ]
+    got = read_pages(spark, tmp_path, pages)
+    assert got == [f"Title {i}\nPart {i} a\nPart {i} b" for i in range(9)]
+
+
 def test_alignment_of_long_pages_is_whole(spark, tmp_path):
     def page(i, n):
         body = "".join(f"<p>Line {k} of {i}</p>" + ("<h2>Part %d</h2>" % i) * (k % 90 == i) for k in range(n))
