@@ -37,8 +37,8 @@ from folioscope.llm.batches import pieces
 WORD_END = "</w>"
 END = "\n"  # stands for the end of a word inside the automaton; byte signs never include it
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-MEMO_SIZE = 250_000
-PAIR_MEMO_SIZE = 400_000
+MEMO_SIZE = 120_000
+PAIR_MEMO_SIZE = 250_000
 
 
 def byte_signs() -> list[str]:
@@ -137,7 +137,7 @@ class Codec:
         self._word_memo: dict[str, list[int]] = {}
         self._chunk_memo: dict[str, tuple[list[int], str, str]] = {}
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str, keep: bool = True) -> list[int]:
         """Ids of one word, from the last token of every prefix."""
         known = self._word_memo.get(word)
         if known is not None:
@@ -161,14 +161,16 @@ class Codec:
             token, at = last[at]
             ids.append(token)
         ids.reverse()
-        if len(self._word_memo) < MEMO_SIZE and len(word) < 64:
+        if keep and len(self._word_memo) < MEMO_SIZE and len(word) < 64:
             self._word_memo[word] = ids
         return ids
 
     def _encode_chunk(self, chunk: str) -> tuple[list[int], str, str]:
         """Ids of a run without white space, and their decimal and decoded forms."""
         text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for word in self.words.findall(text) for i in self.encode_word(word)]
+        found = self.words.findall(text)
+        # a run that is one word is remembered as a run, not twice
+        ids = [i for word in found for i in self.encode_word(word, len(found) > 1)]
         entry = (ids, " ".join(map(str, ids)), self.decode(ids))
         if len(self._chunk_memo) < MEMO_SIZE and len(chunk) < 64:
             self._chunk_memo[chunk] = entry
