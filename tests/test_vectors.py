@@ -307,6 +307,35 @@ def test_lemmatised_counts_add_up(spark):
     assert got == {1: [("cat", 3), ("dog", 1)], 2: [], 3: [("dog", 2)], 4: [("bird", 1)]}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lemmas_and_frequent_terms_move_no_words(spark):
+    """Few lemmas are looked up in tasks, and terms sent to the tasks are neither joined nor shuffled."""
+    rows = [(1, "cats cat cats dog", []), (2, "", []), (3, "dogs dog", []), (None, "cats", [])]
+    counts = tfidf.document_counts(documents(spark, rows), "id", "text")
+    merged = tfidf.lemmatize_counts(counts, "id", tfidf.training_lemmas(counts))
+    assert "Exchange" not in plan_of(merged) and "Join" not in plan_of(merged)
+    got = {r["id"]: [tuple(x) for x in r["counts"]] for r in merged.collect()}
+    assert got == {1: [("cat", 3), ("dog", 1)], 2: [], 3: [("dog", 2)], None: [("cats", 1)]}
+    vectors = tfidf.transform(merged, "id", tfidf.fit(merged))
+    assert "Join" not in plan_of(vectors)
+    assert {r["id"]: [x["term"] for x in r["vector"]] for r in vectors.collect()} == {
+        1: ["cat", "dog"], 3: ["dog"], None: ["cats"],
+    }
+
+
+def test_many_lemmas_are_joined(spark, monkeypatch):
+    rows = [(1, "cats cat cats dog", []), (2, "", []), (3, "dogs dog", []), (4, "bird", [])]
+    counts = tfidf.document_counts(documents(spark, rows), "id", "text")
+    lemmas = tfidf.training_lemmas(counts)
+    few = sorted(map(str, tfidf.lemmatize_counts(counts, "id", lemmas).collect()))
+    monkeypatch.setattr(tfidf, "TASK_LEMMAS", 0)
+    many = tfidf.lemmatize_counts(counts, "id", lemmas)
+    assert "Join" in plan_of(many) and sorted(map(str, many.collect())) == few
+
+
 def test_vocabulary_limits(spark):
     rows = [(1, "aa bb cc", []), (2, "aa bb", []), (3, "aa dd dd dd", []), (4, "", [])]
     counts = tfidf.document_counts(documents(spark, rows), "id", "text")
