@@ -220,6 +220,24 @@ def test_bounds_leave_blocks_out(spark, monkeypatch):
     assert home == 100 and blocks[0] > 10 and further < 100 * (blocks[0] - 1) / 2
 
 
+def test_copies_for_visits_are_made_by_many_tasks(spark, monkeypatch):
+    """What one task emits stays a small part of all rows that are sent to blocks."""
+    monkeypatch.setattr(neighbours, "BLOCK_VECTORS", 30)
+    sent, scored = [], neighbours._scored
+
+    def watched(both, *args):
+        sent.append(sorted(r["count"] for r in both.groupBy(F.spark_partition_id()).count().collect()))
+        return scored(both, *args)
+
+    monkeypatch.setattr(neighbours, "_scored", watched)
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 5)))]
+    table = spark.createDataFrame(rows, "id bigint, v array<double>")
+    neighbours.similar_dense(table, table, "id", "v", k=20, dims=5).collect()
+    _, further = sent
+    assert sum(further) > 3_000 and max(further) < sum(further) / 12
+
+
 def test_empty_sides_of_a_search(spark):
     vectors = embedded(spark, corpus()).vectors
     none = vectors.where("id < 0")
