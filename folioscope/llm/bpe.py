@@ -28,6 +28,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -176,17 +177,20 @@ class Codec:
             self._chunk_memo[chunk] = entry
         return entry
 
-    def chunks(self, text: str | None) -> Iterator[tuple[list[int], str, str]]:
-        memo = self._chunk_memo
+    def chunks(self, text: str | None) -> list[tuple[list[int], str, str]]:
+        """Ids and forms of the runs of a text, those that give no ids left out."""
+        known, found = self._chunk_memo.get, []
         for part in self.special.split(text or "") if "<|" in (text or "") else [text or ""]:
             if part in self.vocabulary.special:
                 token = self.vocabulary.special[part]
-                yield [token], str(token), self.decode([token])
+                found.append(([token], str(token), self.decode([token])))
                 continue
             # str.split also cuts at four control signs that are not white space here
             plain = part.isprintable() or not re.search("[\x1c-\x1f]", part)
-            for chunk in part.split() if plain else filter(None, self.spaces.split(part)):
-                yield memo.get(chunk) or self._encode_chunk(chunk)
+            runs = part.split() if plain else filter(None, self.spaces.split(part))
+            found += [known(run) or self._encode_chunk(run) for run in runs]
+        # a run that the pattern drops whole adds neither an id nor a blank
+        return [entry for entry in found if entry[0]]
 
     def encode(self, text: str | None) -> list[int]:
         return [i for ids, _, _ in self.chunks(text) for i in ids]
@@ -215,16 +219,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", with_ids
 
         sizes, ids_sums, text_sums, ids = [], [], [], []
         for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
-            entries = list(codec.chunks(value))
-            sizes.append(sum(len(e[0]) for e in entries))
-            # a run that the pattern drops whole adds neither an id nor a blank
-            joined = " ".join(e[1] for e in entries if e[0])
-            decoded = " ".join(e[2] for e in entries if e[0])
+            runs, numbers, names = zip(*entries) if (entries := codec.chunks(value)) else ((), (), ())
+            sizes.append(sum(map(len, runs)))
+            joined, decoded = " ".join(numbers), " ".join(names)
             ids_sums.append(hashlib.sha256(joined.encode()).hexdigest())
             text_sums.append(hashlib.sha256(decoded.encode()).hexdigest())
             if with_ids:
-                flat = (i for e in entries for i in e[0])
-                ids.append(np.fromiter(flat, np.int32, sizes[-1]))
+                ids.append(np.fromiter(chain.from_iterable(runs), np.int32, sizes[-1]))
         more = [pa.array(sizes, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
         names = ["bpe_n", "bpe_ids_sha256", "bpe_decoded_sha256"]
         if with_ids:
