@@ -27,8 +27,8 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,7 +38,9 @@ from folioscope.llm.batches import pieces
 WORD_END = "</w>"
 END = "\n"  # stands for the end of a word inside the automaton; byte signs never include it
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-MEMO_SIZE = 120_000
+# entries of the younger half of a memo; the older half is as large
+RUN_MEMO_SIZE = 120_000
+WORD_MEMO_SIZE = 60_000
 PAIR_MEMO_SIZE = 250_000
 
 
@@ -76,7 +78,8 @@ class Vocabulary:
                 raise ValueError("merges must join symbols made by earlier merges, each once")
             self.halves[joined], self.ranks[pair], self.rank_of[joined] = pair, rank, rank
         self.usable = self._usable(ids)
-        self._pairs: dict[int, bool] = {}
+        self.pairs: defaultdict[int, dict[int, bool]] = defaultdict(dict)
+        self._n_pairs = 0
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The symbols on one edge of a token with the rank of the merge that ends each."""
@@ -110,15 +113,40 @@ class Vocabulary:
         return text
 
     def compatible(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        known = self._pairs.get(key)
+        known = self.pairs[a].get(b)
         if known is None:
             known = not self._crosses(a, b, 1 << 60)
-            if len(self._pairs) < PAIR_MEMO_SIZE:
-                self._pairs[key] = known
+            if self._n_pairs < PAIR_MEMO_SIZE:
+                self.pairs[a][b] = known
+                self._n_pairs += 1
         return known
 
 
+class Memo:
+    """What was met lately: a full younger half becomes the older one, and that is forgotten.
+
+    Words that come back are moved to the younger half, so rare ones cannot fill the memo for good.
+    """
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
+
+    def get(self, key: str) -> tuple[str, str] | None:
+        entry = self.young.get(key)
+        if entry is None and (entry := self.old.get(key)) is not None:
+            self.put(key, entry)
+        return entry
+
+    def put(self, key: str, entry: tuple[str, str]) -> None:
+        if len(key) >= 64:
+            return
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = entry
+
+
 class Codec:
     """Encoder and decoder of one vocabulary, with bounded memos of words met."""
 
@@ -135,55 +163,65 @@ class Codec:
         self.words = regex.compile(vocabulary.pattern)
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
         self.spaces = re.compile(f"[{SPACES}]+")
-        self._word_memo: dict[str, list[int]] = {}
-        self._chunk_memo: dict[str, tuple[list[int], str, str]] = {}
+        self.numbers = {i: str(i) for i in vocabulary.names}
+        self._word_memo, self._chunk_memo = Memo(WORD_MEMO_SIZE), Memo(RUN_MEMO_SIZE)
 
-    def encode_word(self, word: str, keep: bool = True) -> list[int]:
+    def encode_word(self, word: str) -> list[int]:
         """Ids of one word, from the last token of every prefix."""
-        known = self._word_memo.get(word)
-        if known is not None:
-            return known
-        signs = word.encode().decode("latin-1").translate(self.signs) + END
-        last: list[tuple[int, int] | None] = [None] * (len(signs) + 1)
-        compatible = self.vocabulary.compatible
+        signs = (word if word.isascii() else word.encode().decode("latin-1")).translate(self.signs) + END
+        # the last token of the prefix up to each place; the item at -1 stands for the empty prefix
+        last: list[int | None] = [None] * len(signs) + [-1]
+        sizes = [0] * len(signs)
+        compatible, pairs = self.vocabulary.compatible, self.vocabulary.pairs
         for end, (token, size) in self.automaton.iter(signs):
-            end += 1
-            if last[end] is not None:
-                continue
-            start = end - size
-            if start == 0:
-                last[end] = (token, 0)
-            else:
-                before = last[start]
-                if before is not None and compatible(before[0], token):
-                    last[end] = (token, start)
-        ids, at = [], len(signs)
-        while at:
-            token, at = last[at]
-            ids.append(token)
+            if last[end] is None and (before := last[end - size]) is not None:
+                if before >= 0:
+                    fits = pairs[before].get(token)
+                    if not (compatible(before, token) if fits is None else fits):
+                        continue
+                last[end], sizes[end] = token, size
+        ids, at = [], len(signs) - 1
+        while at >= 0:
+            ids.append(last[at])
+            at -= sizes[at]
         ids.reverse()
-        if keep and len(self._word_memo) < MEMO_SIZE and len(word) < 64:
-            self._word_memo[word] = ids
         return ids
 
-    def _encode_chunk(self, chunk: str) -> tuple[list[int], str, str]:
-        """Ids of a run without white space, and their decimal and decoded forms."""
-        text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        found = self.words.findall(text)
-        # a run that is one word is remembered as a run, not twice
-        ids = [i for word in found for i in self.encode_word(word, len(found) > 1)]
-        entry = (ids, " ".join(map(str, ids)), self.decode(ids))
-        if len(self._chunk_memo) < MEMO_SIZE and len(chunk) < 64:
-            self._chunk_memo[chunk] = entry
+    def _forms(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join([self.numbers[i] for i in ids]), self.decode(ids)
+
+    def _encode_chunk(self, chunk: str) -> tuple[str, str]:
+        """Ids of a run without white space, in their decimal and decoded forms."""
+        if (entry := self._chunk_memo.get(chunk)) is not None:
+            return entry
+        if chunk.isascii():
+            text = chunk.lower()
+        else:
+            text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        found, memo = self.words.findall(text), self._word_memo
+        if len(found) == 1:
+            # a run that is one word is remembered as a run, not twice
+            word = found[0]
+            entry = memo.young.get(word) or memo.get(word) or self._forms(self.encode_word(word))
+        else:
+            numbers, names = [], []
+            for word in found:
+                form = memo.young.get(word) or memo.get(word)
+                if form is None:
+                    form = self._forms(self.encode_word(word))
+                    memo.put(word, form)
+                numbers.append(form[0])
+                names.append(form[1])
+            entry = (" ".join(numbers), " ".join(names))
+        self._chunk_memo.put(chunk, entry)
         return entry
 
-    def chunks(self, text: str | None) -> list[tuple[list[int], str, str]]:
-        """Ids and forms of the runs of a text, those that give no ids left out."""
-        known, found = self._chunk_memo.get, []
+    def chunks(self, text: str | None) -> list[tuple[str, str]]:
+        """Decimal and decoded ids of the runs of a text, those that give no ids left out."""
+        known, found = self._chunk_memo.young.get, []
         for part in self.special.split(text or "") if "<|" in (text or "") else [text or ""]:
             if part in self.vocabulary.special:
-                token = self.vocabulary.special[part]
-                found.append(([token], str(token), self.decode([token])))
+                found.append(self._forms([self.vocabulary.special[part]]))
                 continue
             # str.split also cuts at four control signs that are not white space here
             plain = part.isprintable() or not re.search("[\x1c-\x1f]", part)
@@ -193,7 +231,7 @@ class Codec:
         return [entry for entry in found if entry[0]]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _, _ in self.chunks(text) for i in ids]
+        return [int(i) for numbers, _ in self.chunks(text) for i in numbers.split()]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.vocabulary.names.__getitem__, ids))
@@ -219,13 +257,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", with_ids
 
         sizes, ids_sums, text_sums, ids = [], [], [], []
         for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
-            runs, numbers, names = zip(*entries) if (entries := codec.chunks(value)) else ((), (), ())
-            sizes.append(sum(map(len, runs)))
+            numbers, names = zip(*entries) if (entries := codec.chunks(value)) else ((), ())
             joined, decoded = " ".join(numbers), " ".join(names)
+            sizes.append(joined.count(" ") + 1 if joined else 0)
             ids_sums.append(hashlib.sha256(joined.encode()).hexdigest())
             text_sums.append(hashlib.sha256(decoded.encode()).hexdigest())
             if with_ids:
-                ids.append(np.fromiter(chain.from_iterable(runs), np.int32, sizes[-1]))
+                ids.append(np.fromstring(joined, np.int32, sep=" "))
         more = [pa.array(sizes, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
         names = ["bpe_n", "bpe_ids_sha256", "bpe_decoded_sha256"]
         if with_ids:

@@ -76,3 +76,17 @@ def test_query_on_hard_cases_and_small_tables(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert QUERIES["op10_bpe"](spark, tables(tmp_path, documents=documents(spark, []))).count() == 0
+
+
+def test_a_full_memo_forgets_rare_words_and_keeps_the_others():
+    codec = bpe.Codec(CODEC.vocabulary)
+    codec._word_memo, codec._chunk_memo = bpe.Memo(20), bpe.Memo(20)
+    words = [f"w{i}q," for i in range(200)]
+    for word in words:
+        ids = codec.encode(f"the, {word}")
+        assert (ids, codec.decode(ids)) == wanted(f"the, {word}")
+    for memo in (codec._word_memo, codec._chunk_memo):
+        assert len(memo.young) <= 20 and len(memo.old) <= 20
+    # a word met after the memo was full is remembered, too
+    assert codec._chunk_memo.get("the,") and codec._chunk_memo.get(words[-1])
+    assert codec._chunk_memo.get(words[0]) is None
