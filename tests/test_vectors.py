@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -385,3 +386,54 @@ def test_report_with_a_category_called_random(spark, tmp_path):
     sinks.write_report(report, str(tmp_path / "r"))
     lines = [r[0] for r in spark.read.text(str(tmp_path / "r")).collect()]
     assert sorted(lines) == [" nan\t1\tlone", "1.000000\t4\trandom", "1.000000\t5\trandom"]
+
+
+def test_packed_blocks_and_parts_of_bit_sets_match_all_pairs(monkeypatch):
+    """Blocks read back from bytes, compared within themselves and with each other, a few rows at a time."""
+    monkeypatch.setattr(sim, "BIT_ROWS", 7)
+    monkeypatch.setattr(sim, "BIT_TERMS", 20)
+    rng = random.Random(7)
+    words = [f"é{i}" for i in range(40)]
+    rows = [
+        {"copies": rng.choice([1, 1, 3]), "mask": rng.choice([0, 0, 1, 6]), "terms": rng.sample(words, rng.randint(1, 3))}
+        for _ in range(60)
+    ]
+
+    def packed(part):
+        table = pa.table({c: [r[c] for r in part] for c in ("copies", "mask", "terms")})
+        block = sim._block(table)
+        names = [field.split()[0] for field in sim.PACKED.split(", ")]
+        return dict(zip(names, sim._packed(block, np.ones(len(part), dtype=bool))))
+
+    def meet(a, b):
+        return not a["mask"] & b["mask"] and bool({*a["terms"]} & {*b["terms"]})
+
+    left, right = rows[:35], rows[35:]
+    blocks = [{**packed(part), "lo": 0, "hi": 1} for part in (left, right)]
+    want = sum(a["copies"] * b["copies"] for a in left for b in right if meet(a, b))
+    assert sim._packed_pairs(pa.Table.from_pylist(blocks)) == want > 0
+    assert sim._packed_pairs(pa.Table.from_pylist(blocks[:1])) == 0
+    want = sum(a["copies"] * b["copies"] for i, a in enumerate(rows) for b in rows[:i] if meet(a, b))
+    want += sum(r["copies"] * (r["copies"] - 1) // 2 for r in rows if not r["mask"])
+    assert sim._packed_pairs(pa.Table.from_pylist([{**packed(rows), "lo": 2, "hi": 2}])) == want
+
+
+def test_blocks_are_sent_once_per_pair_not_row_by_row(spark, monkeypatch):
+    """A block goes to the others in one row; before, each of its rows went to each of them."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.sample(WORDS, 3)), ["c"]) for i in range(120)]
+    done = embedded(spark, rows)
+    members = sim.occurrences(done.documents, "id", "categories")
+    tagged = sim.tag(members, done.vectors, "id", ["category"])
+    sent, class_blocks = [], sim._class_blocks
+
+    def watched(*args):
+        blocks = class_blocks(*args)
+        counted = blocks.groupBy("lo", "hi").count().collect()
+        sent.append((len({r["hi"] for r in counted}), max(r["count"] for r in counted)))
+        return blocks
+
+    monkeypatch.setattr(sim, "_class_blocks", watched)
+    sim.nonzero_pairs(tagged, ["category"], 40).collect()
+    (n_blocks, most), = sent
+    assert n_blocks > 3 and most <= 2
