@@ -437,3 +437,21 @@ def test_blocks_are_sent_once_per_pair_not_row_by_row(spark, monkeypatch):
     sim.nonzero_pairs(tagged, ["category"], 40).collect()
     (n_blocks, most), = sent
     assert n_blocks > 3 and most <= 2
+
+
+@pytest.mark.parametrize("by", [["kind", "category"], ["own", "other"], ["mask", "terms"], ["_by1", "n_terms"]])
+def test_group_columns_of_any_name_in_large_categories(spark, by):
+    """A report groups by kind and category; ``kind`` was the name of a column of blocks, too."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.sample(WORDS, 3)), []) for i in range(60)]
+    done = embedded(spark, rows)
+    members = done.documents.select(
+        (F.col("id") % 2).alias(by[0]), F.lit("c").alias(by[1]), "id"
+    )
+    result = sim.mean_similarity(members, done.vectors, "id", by, block_terms=20).collect()
+    vectors = brute(rows)
+    for r in result:
+        scores = [cosine(vectors[i], vectors[j]) for i in vectors for j in vectors if i < j and i % 2 == j % 2 == r[0]]
+        assert r[1] == "c" and r["n"] == 30
+        assert r["avg_cos"] == pytest.approx(sum(scores) / sum(s > 0 for s in scores))
+    assert len(result) == 2
