@@ -455,3 +455,42 @@ def test_group_columns_of_any_name_in_large_categories(spark, by):
         assert r[1] == "c" and r["n"] == 30
         assert r["avg_cos"] == pytest.approx(sum(scores) / sum(s > 0 for s in scores))
     assert len(result) == 2
+
+
+def test_sparse_search_shuffles_no_copy_of_a_block(spark, monkeypatch):
+    """Blocks meet in a Cartesian product of packed values; before, each visit copied rows into a shuffle."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(WORDS, k=6)), []) for i in range(120)]
+    vectors = embedded(spark, rows).vectors
+    met, elsewhere = [], neighbours._found_elsewhere
+
+    def watched(asked, held, *args):
+        found = elsewhere(asked, held, *args)
+        met.append((held.count(), asked.count(), plan_of(found)))
+        return found
+
+    monkeypatch.setattr(neighbours, "_found_elsewhere", watched)
+    got = neighbours.similar_sparse(vectors, vectors, "id", k=3, block_terms=40).count()
+    (held, asked, plan), = met
+    assert got == 3 * vectors.count() and held == asked > 5
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_rows_below_the_bar_are_neither_scored_nor_sent():
+    """Two blocks without a common word, and one that holds nothing better than the bar."""
+
+    def block(*rows):
+        pairs = [[{"term": t, "weight": w} for t, w in r] for r in rows]
+        return neighbours._rows(pa.table({"id": list(range(len(rows))), "vector": pairs}), "id")
+
+    asked = neighbours._unpacked_rows(pa.py_buffer(neighbours._packed_rows(block([("a", 0.6), ("b", 0.8)]))))
+    for held, bar, want in [
+        (block([("c", 1.0)]), 0.1, []),
+        (block([("c", 1.0)]), -np.inf, [0.0]),
+        (block([("a", 1.0)], [("b", 1.0)]), 0.7, [0.8]),
+        (block([("a", 1.0)], [("b", 1.0)]), 0.8, [0.8]),
+        (block([("a", 1.0)], [("b", 1.0)]), 0.9, []),
+    ]:
+        held = held._replace(keys=pa.array(range(10, 10 + len(held.keys))))
+        found, _ = neighbours._visit(asked, held, 2, np.array([bar]))
+        assert found["cos"].to_pylist() == want
