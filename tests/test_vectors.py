@@ -494,3 +494,64 @@ def test_rows_below_the_bar_are_neither_scored_nor_sent():
         held = held._replace(keys=pa.array(range(10, 10 + len(held.keys))))
         found, _ = neighbours._visit(asked, held, 2, np.array([bar]))
         assert found["cos"].to_pylist() == want
+
+
+def test_categories_shuffle_neither_vectors_nor_pairs(spark, monkeypatch):
+    """Vectors meet their categories where they are gathered, and blocks meet without a shuffle."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(WORDS, k=4)), [f"c{i % 2}", "all"]) for i in range(90)]
+    done = embedded(spark, rows)
+    members = sim.occurrences(done.documents, "id", "categories")
+    plain = sim.mean_similarity(members, done.vectors, "id", ["category"], 40).collect()
+    plans, gathered, class_blocks = [], [], sim._class_blocks
+
+    def watched(*args):
+        blocks = class_blocks(*args)
+        plans.append(plan_of(blocks))
+        return blocks
+
+    def beside(groups):
+        found = done.vectors_beside(groups)
+        gathered.append(plan_of(found))
+        return found
+
+    monkeypatch.setattr(sim, "_class_blocks", watched)
+    monkeypatch.setattr(sim, "PART_TERMS", 50)
+    monkeypatch.setattr(sim, "PIECE_WORDS", 4)
+    again = sim.mean_similarity(members, beside, "id", ["category"], 40).collect()
+    assert sorted((r[0], r[1], round(r[2], 12)) for r in again) == sorted((r[0], r[1], round(r[2], 12)) for r in plain)
+    assert "CartesianProduct" in plans[0] and "Exchange" not in plans[0]
+    # below the join of gathered counts and groups there is one exchange of each side, and none above it
+    assert "Exchange" not in gathered[0].split("Join")[0]
+
+
+def test_totals_of_terms_do_not_depend_on_parts(spark, monkeypatch):
+    """Repeated documents, a term twice in a vector, categories of null."""
+    def vector(*terms):
+        return [(t, 0.25 + 0.125 * i) for i, t in enumerate(terms)]
+
+    rows = [([("a",)], vector("x", "y")), ([("a",), ("b",)], vector("x", "y")), ([("a",)], vector("z", "z"))]
+    rows += [([("b",), (None,)], vector("é", "x")), ([("b",), ("b",)], vector("w"))]
+    rows += [([("once",)], vector("v", "v"))]
+    tagged = spark.createDataFrame(rows * 2 + [([("lone",)], vector("u", "u"))], "groups array<struct<c:string>>, vector array<struct<term:string,weight:double>>")
+    wanted = {"lone": [vector("u", "u")]}
+    for groups, v in rows * 2:
+        for (c,) in groups:
+            wanted.setdefault(c, []).append(v)
+    for size in (1, sim.PART_TERMS):
+        monkeypatch.setattr(sim, "PART_TERMS", size)
+        parts, totals, names = sim._summed_up(tagged.coalesce(1), ["c"])
+        got = {r[0]: r[1] for r in totals.groupBy(*names).agg(F.sum("pair_sum")).collect()}
+        pairs = {r[0]: r[1] for r in sim.nonzero_pairs(tagged, ["c"], 2).collect()}
+        for c, held in wanted.items():
+            if c is None:
+                continue
+            sums, squares = collections.Counter(), collections.Counter()
+            for v in held:
+                for t, w in v:
+                    sums[t] += w
+                    squares[t] += w * w
+            assert got[c] == pytest.approx(sum(sums[t] ** 2 - squares[t] for t in sums) / 2)
+            assert pairs[c] == sum(
+                bool({t for t, _ in a} & {t for t, _ in b}) for i, a in enumerate(held) for b in held[:i]
+            )
