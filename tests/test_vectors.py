@@ -510,8 +510,8 @@ def test_categories_shuffle_neither_vectors_nor_pairs(spark, monkeypatch):
         plans.append(plan_of(blocks))
         return blocks
 
-    def beside(groups):
-        found = done.vectors_beside(groups)
+    def beside(*args):
+        found = done.vectors_beside(*args)
         gathered.append(plan_of(found))
         return found
 
@@ -540,7 +540,7 @@ def test_totals_of_terms_do_not_depend_on_parts(spark, monkeypatch):
             wanted.setdefault(c, []).append(v)
     for size in (1, sim.PART_TERMS):
         monkeypatch.setattr(sim, "PART_TERMS", size)
-        parts, totals, names = sim._summed_up(tagged.coalesce(1), ["c"])
+        _, totals, names = sim._summed_up(tagged, ["c"], tagged.coalesce(1).mapInArrow)
         got = {r[0]: r[1] for r in totals.groupBy(*names).agg(F.sum("pair_sum")).collect()}
         pairs = {r[0]: r[1] for r in sim.nonzero_pairs(tagged, ["c"], 2).collect()}
         for c, held in wanted.items():
